@@ -32,14 +32,33 @@ def raw(spark, sf):
     return V.spark_view(spark, sf, V.RAW)
 
 
-def clean(spark, sf):
+_STAGES: dict[tuple, DataFrame] = {}
+
+
+def staged(spark, sf, name: str, build) -> DataFrame:
+    """What several queries share, written once per session as the batch run does."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STAGES:
+        _STAGES[key] = tables.write_stage(build(spark, sf), scratch_dir(spark, name))
+    return _STAGES[key]
+
+
+def clean_lazy(spark, sf):
     return stage_boundary(clean_entities(raw(spark, sf)))
 
 
-def duplicates(spark, sf):
+def duplicates_lazy(spark, sf):
     return stage_boundary(clean_entities(resolve.labelled_duplicates(raw(spark, sf), None)))
 
 
+def clean(spark, sf):
+    return staged(spark, sf, "clean", clean_lazy)
+
+
+def duplicates(spark, sf):
+    return staged(spark, sf, "duplicates", duplicates_lazy)
+
+
 def noisy_filings(spark, sf):
     """Every filing's noisy copy, cleaned but not reduced to one per key."""
     return stage_boundary(clean_columns(resolve.labelled_duplicates(raw(spark, sf), None)))
@@ -49,12 +68,16 @@ def vector_table(spark, sf):
     return V.spark_view(spark, sf, V.VECTORS)
 
 
-def matches(spark, sf):
+def matches_lazy(spark, sf):
     return resolve.resolve(
-        clean(spark, sf), duplicates(spark, sf), vector_table(spark, sf), AS_OF
+        clean_lazy(spark, sf), duplicates_lazy(spark, sf), vector_table(spark, sf), AS_OF
     )
 
 
+def matches(spark, sf):
+    return staged(spark, sf, "matches", matches_lazy)
+
+
 def stored(spark, sf):
     return merge.entity_rows(clean(spark, sf), AS_OF)
 
@@ -63,13 +86,17 @@ def index(spark, sf):
     return vectors.index_rows(clean(spark, sf), vector_table(spark, sf))
 
 
-def nodes(spark, sf):
+def nodes_lazy(spark, sf):
     """Real and marked companies, with the codes of the real ones."""
     real = graph.entity_nodes(clean(spark, sf))
     return real.unionByName(graph.company_nodes(duplicates(spark, sf)))
 
 
-def edges(spark, sf):
+def nodes(spark, sf):
+    return staged(spark, sf, "nodes", nodes_lazy)
+
+
+def edges_lazy(spark, sf):
     n = nodes(spark, sf)
     owned = tables.relationships(spark, V.spark_view(spark, sf, V.RELATIONSHIPS))
     return (
@@ -79,6 +106,10 @@ def edges(spark, sf):
     )
 
 
+def edges(spark, sf):
+    return staged(spark, sf, "edges", edges_lazy)
+
+
 def runs(spark, sf):
     day = V.spark_view(spark, sf, V.QUALITY_RUNS)
     score = round_exact(F.col("valid_records") / F.col("total_records") * 100, 2)
@@ -187,7 +218,7 @@ def norm_c9_status(spark, sf):
 
 
 def norm_c10_clean_entities(spark, sf):
-    return clean(spark, sf).drop("other_names")
+    return clean_lazy(spark, sf).drop("other_names")
 
 
 def norm_c11_text_profile(spark, sf):
@@ -347,7 +378,7 @@ def er_e1_pair_join(spark, sf):
 
 def er_e1_last_duplicate_wins(spark, sf):
     """Raw real rows repeat their key: the last one is the partner."""
-    pairs = resolve.pair_rows(raw(spark, sf), duplicates(spark, sf), "ingest_ord")
+    pairs = resolve.pair_rows(raw(spark, sf), duplicates(spark, sf), last_by="ingest_ord")
     return pairs.select(
         F.col("a_lei").alias("lei_a"), F.col("b_lei").alias("lei_b"),
         F.col("a_legal_name").alias("name_a"),
@@ -383,7 +414,7 @@ def er_j6_vector_similarity(spark, sf):
 
 
 def er_j11_resolve(spark, sf):
-    return _codes(matches(spark, sf))
+    return _codes(matches_lazy(spark, sf))
 
 
 def er_j11_resolve_filings(spark, sf):

@@ -7,6 +7,8 @@ driver table.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 NATION_CODES = "US,GB,DE,FR,JP,CA,CH,NL,SE,IE,IT,ES,BR,IN,AU,SG,ZA,MX,NO,FI,DK,PL,AT,BE,NA"
@@ -152,6 +154,7 @@ FROM {{supplier}} JOIN {{nation}} ON s_nationkey = n_nationkey
 TABLES = ("orders", "customer", "nation", "supplier", "embeddings", "events", "documents")
 
 
+@lru_cache(maxsize=None)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

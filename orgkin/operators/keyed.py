@@ -16,11 +16,16 @@ SMALL_BYTES = 64 << 20  # largest side ever named as a broadcast candidate
 
 
 def planned_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate, or None where the session does not expose it."""
+    """Bytes of all inputs the plan reads, or None where the session hides it.
+
+    Summing the leaves avoids Catalyst's join estimate, which multiplies both sides.
+    """
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        sizes = [leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size())]
     except AttributeError:
         return None
+    return sum(int(str(s)) for s in sizes)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:

@@ -106,6 +106,8 @@ def pair_rows(
     ``last_by`` names the order in which the last real row of a repeated key wins;
     leave it out when keys are already unique, as after cleaning.
     """
+    names = set(real.columns)
+    real = real.withColumns({c: F.lit(None).cast("string") for c in _SIDE if c not in names})
     if last_by is not None:
         real = first_per_key(real, ["lei"], F.desc_nulls_last(last_by))
     a = real.filter(F.col("lei").isNotNull()).select(
