@@ -129,7 +129,8 @@ FROM {customer}
 
 # Reviewer events: purchases and sign-ups accept, errors reject, the rest say nothing.
 REVIEW_EVENTS = """
-SELECT 'LEI' || lpad(cast(user_id AS string), 17, '0') AS lei,
+SELECT CASE WHEN event_type = 'signup' AND value > 20 THEN 'GONE' ELSE 'LEI' END
+    || lpad(cast(user_id AS string), 17, '0') AS lei,
   CASE WHEN event_type = 'error' THEN 'rejected' WHEN event_type IN ('purchase', 'signup')
        THEN 'accepted' ELSE 'looked' END AS decision,
   ts, event_id AS seq

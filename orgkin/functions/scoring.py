@@ -9,6 +9,7 @@ from orgkin import refdata as R
 from orgkin.functions.align import partial_ratio, token_set_ratio, token_sort_ratio
 from orgkin.functions.numeric import round_exact
 from orgkin.functions.text import _col, blank_to_null, strip
+from orgkin.operators.keyed import spread
 
 
 def _filled(c: Column) -> Column:
@@ -71,7 +72,8 @@ def with_signals(
     """Add name_similarity, address_similarity and embedding_similarity, 4 dp.
 
     The raw values are a projection of their own, so the rounding steps read a
-    column instead of repeating the alignment.
+    column instead of repeating the alignment. Small inputs are dealt over all cores
+    first, as alignment is the costliest step of a run.
     """
     raw, rounded = {}, {}
     if name:
@@ -85,7 +87,9 @@ def with_signals(
         rounded["embedding_similarity"] = F.greatest(
             F.lit(0.0), F.coalesce(round_exact("_vector_raw", 4), F.lit(0.0))
         )
-    return df.withColumns(raw).withColumns(rounded).drop(*raw)
+    aligned = [c for pair in (name, address) if pair for c in pair]
+    rows = spread(df, *aligned) if aligned else df
+    return rows.withColumns(raw).withColumns(rounded).drop(*raw)
 
 
 def score_raw(vector_missing: Column | None = None) -> Column:

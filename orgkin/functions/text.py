@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Sequence
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -11,9 +12,21 @@ from pyspark.sql import functions as F
 
 from orgkin.refdata import ADDRESS_WORDS, ENTITY_STATUSES, LEGAL_FORMS, UNKNOWN_STATUS
 
+
+def _ranges(chars: str) -> str:
+    """Regex class body of the characters, neighbours merged into ranges."""
+    spans: list[list[int]] = []
+    for i in sorted(map(ord, chars)):
+        if spans and spans[-1][1] == i - 1:
+            spans[-1][1] = i
+        else:
+            spans.append([i, i])
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans)
+
+
 # Every code point Python calls white space: one set for trimming and collapsing.
 WHITESPACE = "".join(chr(i) for i in range(sys.maxunicode + 1) if chr(i).isspace())
-_SPACE_RUN = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in WHITESPACE) + "]+"
+_SPACE_RUN = "[" + _ranges(WHITESPACE) + "]+"
 _CASED = r"\p{IsLowercase}\p{IsUppercase}\p{Lt}"
 _CASE_RUN = f"([{_CASED}]+|[^{_CASED}]+)"
 
@@ -62,13 +75,16 @@ def ascii_fold(c: Column | str) -> Column:
     x = _col(c)
     src, dst, longer = _fold_tables()
     table = literal_map(longer)
+    plain = F.translate(x, src, dst)
     spelled = F.array_join(
-        F.transform(F.split(x, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), ""
+        F.transform(F.split(plain, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)),
+        "",
     )
-    any_longer = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in longer) + "]"
-    wide = F.when(x.rlike(any_longer), spelled).otherwise(x)
-    folded = F.regexp_replace(F.translate(wide, src, dst), r"[^\x00-\x7F]", "")
-    return F.when(x.rlike(r"[^\x00-\x7F]"), folded).otherwise(x)
+    wide = r"[^\x00-\x7F]"
+    # most text is ASCII, most of the rest is after one translate; only what is left is spelled
+    return F.when(
+        x.rlike(wide), F.when(plain.rlike(wide), F.regexp_replace(spelled, wide, "")).otherwise(plain)
+    ).otherwise(x)
 
 
 def title_case(c: Column | str) -> Column:
@@ -77,20 +93,49 @@ def title_case(c: Column | str) -> Column:
     return F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")
 
 
+def _strict_stem(pattern: str) -> str:
+    for tail in (r"\.?\b", r"\.\b", r"\b"):
+        if pattern.endswith(tail):
+            return pattern[: -len(tail)]
+    return pattern
+
+
 def _strict(pattern: str) -> str:
     """Rule variant that also consumes a closing dot at the end of the name."""
-    for tail in (r"\.?\b", r"\.\b"):
-        if pattern.endswith(tail):
-            return pattern[: -len(tail)] + r"\.?(?!\w)"
-    return pattern[: -len(r"\b")] + r"(?!\w)"
+    stem = _strict_stem(pattern)
+    dot = r"\.?" if pattern != stem + r"\b" else ""
+    return stem + dot + r"(?!\w)"
+
+
+def _rewrite(x: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
+    """Apply (stem, pattern, form) rewrites in order.
+
+    A rule's regex runs only on text that contains its stem, in any case, so most
+    rules cost one substring test.
+    """
+    table = F.array(
+        *[F.struct(F.lit(s).alias("stem"), F.lit(p).alias("rule"), F.lit(f).alias("form"))
+          for s, p, f in rules]
+    )
+    return F.aggregate(
+        table, x,
+        lambda text, r: F.when(
+            F.contains(F.lower(F.upper(text)), r["stem"]), F.regexp_replace(text, r["rule"], r["form"])
+        ).otherwise(text),
+    )
+
+
+def _stem(pattern: str) -> str:
+    """The fixed lower-case text any match of a legal-form pattern contains."""
+    return pattern.replace(r"\b", "").replace(r"\.?", "").replace(r"\.", ".")
 
 
 def legal_forms(c: Column | str, strict_suffixes: bool = False) -> Column:
-    x = _col(c)
-    for pattern, form in LEGAL_FORMS:
-        rule = _strict(pattern) if strict_suffixes else pattern
-        x = F.regexp_replace(x, f"(?i){rule}", form)
-    return x
+    return _rewrite(
+        _col(c),
+        [(_stem(_strict_stem(p) if strict_suffixes else p),
+          f"(?i){_strict(p) if strict_suffixes else p}", form) for p, form in LEGAL_FORMS],
+    )
 
 
 def normalize_name(c: Column | str, strict_suffixes: bool = False) -> Column:
@@ -109,9 +154,8 @@ def drop_dots(c: Column | str) -> Column:
 def normalize_address(c: Column | str) -> Column:
     """Address line: title case and abbreviated street words; null becomes ''."""
     x = title_case(strip(F.coalesce(_col(c), F.lit(""))))
-    for word, short in ADDRESS_WORDS:
-        x = F.regexp_replace(x, rf"(?iU)\b{word}\b", short)
-    return collapse_spaces(x)
+    rules = [(word, rf"(?iU)\b{word}\b", short) for word, short in ADDRESS_WORDS]
+    return collapse_spaces(_rewrite(x, rules))
 
 
 def standardize_status(c: Column | str, vocabulary=ENTITY_STATUSES) -> Column:

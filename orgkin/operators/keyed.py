@@ -12,6 +12,7 @@ SALT_ABOVE_BYTES = 4 << 30  # many-side plans below this are joined plainly
 HOT_ROWS = 1_000_000  # rows from which a key counts as hot
 MAX_HOT_KEYS = 10_000  # broadcast bound: any later key has < 1/10,000 of the rows
 SALTS = 64
+SPREAD_BELOW_BYTES = 256 << 20
 SMALL_BYTES = 64 << 20  # largest side ever named as a broadcast candidate
 
 
@@ -28,6 +29,18 @@ def planned_bytes(df: DataFrame) -> int | None:
     return sum(int(str(s)) for s in sizes)
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Deal a small input over all cores before CPU-heavy work; large ones stay put.
+
+    A small table often arrives in one file, so in one task. Large inputs already
+    come in many partitions and are not shuffled again.
+    """
+    size = planned_bytes(df)
+    if size is None or size > SPREAD_BELOW_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *by)
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     """The first row of each key in the given order; null keys form one group.
 
