@@ -29,7 +29,8 @@ PROBE_KEY = "LEI" + "7".rjust(17, "0")
 
 # --- shared inputs --------------------------------------------------------------------
 def raw(spark, sf):
-    return V.spark_view(spark, sf, V.RAW)
+    """All filings; the small test files arrive as one task, so they are dealt out."""
+    return keyed.spread(V.spark_view(spark, sf, V.RAW), "ingest_ord")
 
 
 _STAGES: dict[tuple, DataFrame] = {}
