@@ -49,7 +49,8 @@ def clean_lazy(spark, sf):
 
 
 def duplicates_lazy(spark, sf):
-    return stage_boundary(clean_entities(resolve.labelled_duplicates(raw(spark, sf), None)))
+    copies = resolve.labelled_duplicates(raw(spark, sf), None, first_by="ingest_ord")
+    return stage_boundary(clean_entities(copies))
 
 
 def clean(spark, sf):

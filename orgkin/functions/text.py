@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sys
 import unicodedata
 from collections.abc import Sequence
@@ -113,9 +114,9 @@ def _rewrite(x: Column, rules: Sequence[tuple[str, str, str]]) -> Column:
     A rule's regex runs only on text that contains its stem, in any case, so most
     rules cost one substring test.
     """
-    table = F.array(
-        *[F.struct(F.lit(s).alias("stem"), F.lit(p).alias("rule"), F.lit(f).alias("form"))
-          for s, p, f in rules]
+    lines = [{"stem": s, "rule": p, "form": f} for s, p, f in rules]
+    table = F.from_json(
+        F.lit(json.dumps(lines)), "array<struct<stem:string,rule:string,form:string>>"
     )
     return F.aggregate(
         table, x,

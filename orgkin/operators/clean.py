@@ -9,7 +9,7 @@ from orgkin.functions.country import normalize_country
 from orgkin.functions.text import (
     blank_to_null, normalize_address, normalize_name, standardize_status, strip,
 )
-from orgkin.operators.keyed import first_per_key
+from orgkin.operators.keyed import first_per_key, spread
 from orgkin.refdata import ENTITY_STATUSES, REGISTRATION_STATUSES
 
 
@@ -34,8 +34,11 @@ def clean_columns(df: DataFrame, strict_suffixes: bool = False) -> DataFrame:
 
 
 def dedupe_first(df: DataFrame, order: str = "ingest_ord") -> DataFrame:
-    """Keep the first row per lei in ingest order; rows without a lei are one group."""
-    return first_per_key(df, ["lei"], F.asc_nulls_last(order))
+    """Keep the first row per lei in ingest order; rows without a lei are one group.
+
+    A small input is dealt over all cores by key, which the window then reuses.
+    """
+    return first_per_key(spread(df, "lei"), ["lei"], F.asc_nulls_last(order))
 
 
 def clean_entities(

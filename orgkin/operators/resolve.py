@@ -79,12 +79,17 @@ def labelled_duplicates(
     n: int | None = R.DUPLICATE_SAMPLE,
     seed: int = R.DUPLICATE_SEED,
     identity: tuple[str, ...] = ("lei", "ingest_ord"),
+    first_by: str | None = None,
 ) -> DataFrame:
     """Noisy copies of ``n`` sampled raw rows (all rows when None) under a marked key.
 
-    ``origin_lei`` keeps the true key for evaluation.
+    ``origin_lei`` keeps the true key for evaluation. ``first_by`` keeps only the first
+    named row per key before any noise is made, for callers that clean the copies by
+    that order anyway.
     """
     named = raw.filter(F.col("legal_name").isNotNull())
+    if first_by is not None:
+        named = first_per_key(named, ["lei"], F.asc_nulls_last(first_by))
     rows = named if n is None else exact_sample(named, n, seed, identity)
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in identity]
     mark = F.concat_ws(":", *parts, F.lit(f"noise{seed}"))
@@ -99,40 +104,40 @@ def labelled_duplicates(
 
 
 def pair_rows(
-    real: DataFrame, dup: DataFrame, last_by: str | None = None, **join_options
+    real: DataFrame,
+    dup: DataFrame,
+    vectors: DataFrame | None = None,
+    last_by: str | None = None,
+    **join_options,
 ) -> DataFrame:
     """Equi-join of marked rows with the real row they name, as a_/b_ columns.
 
-    ``last_by`` names the order in which the last real row of a repeated key wins;
-    leave it out when keys are already unique, as after cleaning.
+    ``vectors`` (one per lei) are attached where known, before the pairs are formed:
+    both sides are still laid out by their own key then, so the pairs themselves are
+    never shuffled for it. ``last_by`` names the order in which the last real row of
+    a repeated key wins; leave it out when keys are already unique, as after cleaning.
     """
     names = set(real.columns)
     real = real.withColumns({c: F.lit(None).cast("string") for c in _SIDE if c not in names})
     if last_by is not None:
         real = first_per_key(real, ["lei"], F.desc_nulls_last(last_by))
+    carried = list(_SIDE)
+    if vectors is not None:
+        known = vectors.select("lei", F.col("embedding").alias("vector"))
+        real = real.join(known, "lei", "left")
+        dup = keyed_join(dup, known, "lei", "left", **join_options)
+        carried.append("vector")
     a = real.filter(F.col("lei").isNotNull()).select(
-        F.col("lei").alias("_key"), *[F.col(c).alias(f"a_{c}") for c in _SIDE]
+        F.col("lei").alias("_key"), *[F.col(c).alias(f"a_{c}") for c in carried]
     )
     extra = [c for c in ("ingest_ord",) if c in dup.columns]
     b = dup.select(
         F.replace(F.col("lei"), F.lit(R.SYNTHETIC_PREFIX), F.lit("")).alias("_key"),
-        *[F.col(c).alias(f"b_{c}") for c in _SIDE], *extra,
+        *[F.col(c).alias(f"b_{c}") for c in carried], *extra,
     )
     return keyed_join(b, a, "_key", **join_options).drop("_key")
 
 
-def attach_vectors(pairs: DataFrame, vectors: DataFrame | None, **join_options) -> DataFrame:
-    """Vectors of both sides where known; pairs are kept without them."""
-    if vectors is None:
-        return pairs
-    for side in ("a", "b"):
-        v = vectors.select(
-            F.col("lei").alias(f"{side}_lei"), F.col("embedding").alias(f"{side}_vector")
-        )
-        pairs = keyed_join(pairs, v, f"{side}_lei", "left", **join_options)
-    return pairs
-
-
 def score_pairs(
     pairs: DataFrame,
     as_of: dt.datetime | None = None,
@@ -182,7 +187,7 @@ def resolve(
     renormalise_missing: bool = False,
 ) -> DataFrame:
     """Score every marked duplicate against the record it names; all decisions are kept."""
-    pairs = attach_vectors(pair_rows(real, dup, last_by), vectors)
+    pairs = pair_rows(real, dup, vectors, last_by)
     return score_pairs(pairs, as_of, renormalise_missing)
 
 
