@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from orgkin.llm import byte_bpe, mixing, quality_rules
+from orgkin.llm import byte_bpe, jaccard_join, mixing, pii, quality_rules
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.query,
+    "op7_pii_surrogates": pii.query,
+    "op8_jaccard_join": jaccard_join.query,
     "op9_quality_rules": quality_rules.query,
     "op10_source_mixing": mixing.query,
 }
