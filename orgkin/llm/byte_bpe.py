@@ -17,7 +17,7 @@ import hashlib
 import struct
 from array import array
 from collections.abc import Iterable, Iterator, Sequence
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from orgkin.llm.common import documents
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 FIRST_CHAR = 0x100  # byte b is the character FIRST_CHAR + b: no byte is white space
-CACHED = 400_000  # distinct matches whose ids a worker remembers
+CACHED = 300_000  # distinct matches whose ids a worker remembers
 AT_ONCE = 500_000  # matches that are looked up together
 LONG = 1_000_000  # characters from which a text is cut into parts of so many matches
 
@@ -101,7 +101,7 @@ class Codec:
         self.pattern = regex.compile(cut)
         self.whole = {t: i for i, t in enumerate(tokens)}
         self.chars = {b: FIRST_CHAR + b for b in range(256)}
-        self.seen: dict[str, tuple[int, ...]] = {}
+        self.seen: dict[str, bytes] = {}  # ids as 32-bit integers, which takes little memory
 
     def _learn(self, matches: set[str]) -> None:
         """Ids of all these matches: those not yet known are encoded in one call."""
@@ -109,12 +109,13 @@ class Codec:
         if len(self.seen) + len(new) > CACHED:
             self.seen.clear()
             new = matches
+        pack = struct.Struct("<i").pack
         whole = {m: self.whole.get(m.encode()) for m in new}
-        self.seen.update((m, (at,)) for m, at in whole.items() if at is not None)
+        self.seen.update((m, pack(at)) for m, at in whole.items() if at is not None)
         rest = [m for m, at in whole.items() if at is None]
         chars = [m.encode().decode("latin-1").translate(self.chars) for m in rest]
         for m, ids in zip(rest, self.processor.encode(chars, num_threads=1), strict=True):
-            self.seen[m] = tuple([i - 1 for i in ids])
+            self.seen[m] = array("i", [i - 1 for i in ids]).tobytes()
 
     def _parts(self, texts: Iterable[str]) -> Iterator[tuple[int, list[str]]]:
         """The matches of the texts, those of a long text in parts."""
@@ -126,9 +127,9 @@ class Codec:
             while part := list(islice(matches, AT_ONCE)):
                 yield at, part
 
-    def encode_all(self, texts: Sequence[str]) -> list[array]:
+    def encode_all(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Ids of each text. Matches are looked up for many texts together."""
-        out = [array("i") for _ in texts]
+        out: list[list[bytes]] = [[] for _ in texts]
         held: list[tuple[int, list[str]]] = []
         size = 0
         for at, part in self._parts(texts):
@@ -138,13 +139,13 @@ class Codec:
                 self._flush(held, out)
                 held, size = [], 0
         self._flush(held, out)
-        return out
+        return [np.frombuffer(b"".join(parts), np.int32) for parts in out]
 
-    def _flush(self, held: list[tuple[int, list[str]]], out: list[array]) -> None:
+    def _flush(self, held: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
         self._learn({m for _, part in held for m in part})
         seen = self.seen
         for at, part in held:
-            out[at].extend(chain.from_iterable([seen[m] for m in part]))
+            out[at].append(b"".join([seen[m] for m in part]))
 
     def decode(self, ids) -> bytes:
         tokens = self.tokens
@@ -179,34 +180,30 @@ class ByteBpe:
         )
 
         @F.arrow_udf(T.ArrayType(T.IntegerType()))
-        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def encode(texts: pa.Array) -> pa.Array:
             codec = _codec(shared)
-            for texts in batches:
-                gc.disable()  # nothing here is cyclic, and the cache is long to walk
-                ids = codec.encode_all([t or "" for t in texts.to_pylist()])
-                gc.enable()
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                values = np.concatenate([np.frombuffer(x, np.int32) for x in ids if x] or [[]])
-                yield pa.ListArray.from_arrays(
-                    pa.array(ends), pa.array(values.astype(np.int32, copy=False))
-                )
+            gc.disable()  # nothing here is cyclic, and the cache is long to walk
+            ids = codec.encode_all([t or "" for t in texts.to_pylist()])
+            gc.enable()
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
 
         @F.arrow_udf(T.BinaryType())
-        def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def decode(lists: pa.Array) -> pa.Array:
             codec = _codec(shared)
-            for lists in batches:
-                yield pa.array([codec.decode(x.values.to_pylist()) if x.is_valid else None
-                                for x in lists], pa.binary())
+            return pa.array(
+                [codec.decode(x.values.to_pylist()) if x.is_valid else None for x in lists], pa.binary()
+            )
 
         @F.arrow_udf(T.StringType())
-        def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for lists in batches:
-                yield pa.array([
-                    hashlib.sha256(x.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes())
-                    .hexdigest() if x.is_valid else None for x in lists
-                ], pa.string())
-
-        self.encode, self.decode, self.digest = encode, decode, digest
+        def digest(lists: pa.Array) -> pa.Array:
+            ids = (x.values.to_numpy().astype("<u4") if x.is_valid else None for x in lists)
+            return pa.array(
+                [None if x is None else hashlib.sha256(x.tobytes()).hexdigest() for x in ids], pa.string()
+            )
+
+        # Not repeatable as far as the optimizer knows: it would encode once for each use.
+        self.encode, self.decode, self.digest = encode.asNondeterministic(), decode, digest
 
 
 def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
