@@ -3,7 +3,7 @@
 1. Every text becomes its set of hashed word n-grams. The hash range is cut into more parts
    than two sets that link can differ in, so two such sets agree on a whole part; each set
    gives a signature for each of its parts. How many parts depends on the size level; a set
-   near the end of a level also signs for the next one.
+   near the end of a level also signs for the next one. Parts of few n-grams are left out.
 2. Sets with a common signature are joined to the smallest id there, never pair by pair, and
    the connected components of these edges are the blocks inside which links can lie.
 3. A block's sets are put into a prefix tree and searched; see ``prefix_tree``. A block above
@@ -84,11 +84,11 @@ class Signatures:
             self.lows.append(max(self.lows[-1] + 1, int(self.lows[-1] * LEVEL_RATIO)))
 
     def parts(self, level: int) -> tuple[int, int]:
-        """Parts of a level, and how many of them a set may have empty without signing for
-        these: so many parts beyond the differences are equal in both sets."""
+        """Parts of a level, and how many of them a set may leave out: at least one more than
+        that is equal in both sets."""
         longest = self.lows[level + 1] - 1
         differences = 2 * longest * (100 - self.percent) // (100 + self.percent)
-        spare = 2 + differences // 16
+        spare = 2 + differences // 3
         return (differences + 1 + spare if differences else 0), spare
 
     def of(self, tokens: np.ndarray) -> np.ndarray:
@@ -109,10 +109,12 @@ class Signatures:
             cuts = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
             sums = total[cuts[1:]] - total[cuts[:-1]]
             keys = _mixed(sums + np.arange(parts, dtype=np.uint64) * MIX[0], 100 + at)
-            filled = cuts[1:] > cuts[:-1]
-            if parts - int(filled.sum()) <= spare:
-                keys = keys[filled]
-            out.append(keys)
+            # Small parts say little and meet by chance, so those below a size are left out,
+            # the largest size that leaves out no more than the spare ones. Of the parts that
+            # are equal in two sets, both leave out what the one with the larger size does.
+            sizes = cuts[1:] - cuts[:-1]
+            least = int(np.sort(sizes)[spare])
+            out.append(keys[sizes >= least])
         return (np.concatenate(out) if out else np.zeros(0, np.uint64)).view(np.int64)
 
 
@@ -161,85 +163,73 @@ def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, SIGNED)
 
 
-def _sets(docs: DataFrame, places: DataFrame, n: int) -> DataFrame:
-    """The sets of the documents in ``places`` (doc_id, block, tree), as bytes."""
-    def cut(batches):
-        for batch, texts in _text_batches(batches):
-            sets = [s.tobytes() for s in shingle_sets(texts, n)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("tree"), batch.column("doc_id"),
-                 pa.array(sets, pa.large_binary()).cast(pa.binary())],
-                ["block", "tree", "doc_id", "tokens"],
-            )
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(places, "doc_id")
-    return rows.select("block", "tree", "doc_id", "text").mapInArrow(
-        cut, "block long, tree long, doc_id long, tokens binary"
-    )
-
-
-def _searched(rows: DataFrame, percent: int, *keys: str) -> DataFrame:
-    """Links ``a, b`` found in the tree of each group: rows ``doc_id, tokens, grp, probe``."""
+def _searched(rows: DataFrame, n: int, percent: int, *keys: str) -> DataFrame:
+    """Links ``a, b`` found in the tree of each group: rows ``doc_id, text, grp, probe``."""
     def search(batches):
         for group in runs_of(batches, *keys):
-            ids = group.column("doc_id").to_numpy()
-            ids, at = np.unique(ids, return_index=True)
+            ids, at = np.unique(group.column("doc_id").to_numpy(), return_index=True)
             if len(ids) < 2:
                 continue
-            tokens, probe = group.column("tokens"), group.column("probe").to_numpy(zero_copy_only=False)
-            flagged = set(group.column("doc_id").to_numpy()[probe].tolist())
-            sets = [np.frombuffer(tokens[int(i)].as_py(), np.uint64) for i in at]
-            links = PrefixTree(sets).links(
-                group.column("grp").to_numpy()[at], np.array([i in flagged for i in ids.tolist()]),
-                percent,
-            )
+            probe = group.column("probe").to_numpy(zero_copy_only=False)
+            flagged = np.isin(ids, group.column("doc_id").to_numpy()[probe])
+            texts = group.column("text")
+            sets = [shingle_sets([texts[int(i)].as_py()], n)[0] for i in at]
+            links = PrefixTree(sets).links(group.column("grp").to_numpy()[at], flagged, percent)
             if links:
                 a, b = zip(*links, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[list(a)]), pa.array(ids[list(b)])], ["a", "b"]
                 )
 
-    columns = [*keys, "doc_id", "tokens", "grp", "probe"]
-    dealt = rows.select(*columns).repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(search, "a long, b long")
+    dealt = rows.select(*keys, "doc_id", "text", "grp", "probe").repartition(*keys)
+    return dealt.sortWithinPartitions(*keys).mapInArrow(search, "a long, b long")
 
 
-def _split_links(sets: DataFrame, trees: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """The links between the trees of blocks that have several; ``trees``: block, trees."""
-    def grouped(links):
-        nodes = connected_components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
-        joined = sets.join(nodes, "doc_id", "left")
-        return joined.withColumn("grp", F.coalesce("grp", "doc_id"))
+def _open_blocks(places: DataFrame, links: DataFrame) -> DataFrame:
+    """``doc_id, block, tree, grp`` of the blocks that the links leave in several groups."""
+    nodes = connected_components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
+    now = places.join(nodes, "doc_id", "left").withColumn("grp", F.coalesce("grp", "doc_id"))
+    apart = now.groupBy("block").agg(F.min("grp").alias("l"), F.max("grp").alias("h")).filter("l < h")
+    return written(now.join(apart.select("block"), "block", "left_semi"), "jaccard-open")
 
+
+def _split_links(
+    texts: DataFrame, places: DataFrame, trees: DataFrame, links: DataFrame, n: int, percent: int
+) -> DataFrame:
+    """All links with those between the trees of blocks that have several (``trees``)."""
     every = trees.select("block", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree"))
-    now = grouped(links)
-    sizes = now.groupBy("block", "grp").agg(F.count(F.lit(1)).alias("n"))
+    found = texts.select("doc_id", "text")
+    yes, no = F.lit(True).alias("probe"), F.lit(False).alias("probe")
+    now = _open_blocks(places.join(trees.select("block"), "block", "left_semi"), links)
+    if now.isEmpty():
+        return links
+    sizes = now.groupBy("block", "grp").agg(F.count(F.lit(1)).alias("_n"))
     largest = sizes.withColumn(
-        "at", F.row_number().over(W.partitionBy("block").orderBy(F.desc("n"), "grp"))
-    ).filter(F.col("at") <= ANCHORS)
+        "_at", F.row_number().over(W.partitionBy("block").orderBy(F.desc("_n"), "grp"))
+    ).filter(F.col("_at") <= ANCHORS)
     anchors = now.join(largest.select(F.col("grp").alias("doc_id")), "doc_id", "left_semi")
-    base = now.withColumn("probe", F.lit(False))
-    sent = anchors.drop("tree").join(every, "block").withColumn("probe", F.lit(True))
-    found = _searched(base.unionByName(sent), percent, "block", "tree")
-    links = written(links.unionByName(found), "jaccard-links")
-
-    now = written(grouped(links), "jaccard-groups")
-    sizes = now.groupBy("block", "grp").agg(F.count(F.lit(1)).alias("n"))
-    top = sizes.groupBy("block").agg(F.max_by("grp", F.struct("n", F.col("grp"))).alias("top"))
+    sent = anchors.drop("tree").join(every, "block").select("block", "tree", "doc_id", "grp", yes)
+    rows = now.select("block", "tree", "doc_id", "grp", no).unionByName(sent).join(found, "doc_id")
+    links = written(links.unionByName(_searched(rows, n, percent, "block", "tree")), "jaccard-links")
+
+    now = _open_blocks(now.drop("grp"), links)
+    if now.isEmpty():
+        return links
+    sizes = now.groupBy("block", "grp").agg(F.count(F.lit(1)).alias("_n"))
+    top = sizes.groupBy("block").agg(F.max_by("grp", F.struct("_n", "grp")).alias("top"))
     outside = now.join(top, "block").filter(F.col("grp") != F.col("top")).drop("top")
-    chunks = outside.groupBy("block").agg(
-        F.ceil(F.sum(F.length("tokens") / 8) / TREE_TOKENS).alias("chunks")
+    lengths = texts.select("doc_id", F.length("text").alias("_chars"))
+    chunks = outside.join(lengths, "doc_id").groupBy("block").agg(
+        F.ceil(F.sum("_chars") / (5 * TREE_TOKENS)).alias("chunks")
     )
-    left = now.join(chunks, "block").withColumn("probe", F.lit(False)).withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    left = now.join(chunks, "block").select(
+        "block", "tree", "doc_id", "grp", no, F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
     )
-    right = (
-        outside.drop("tree").join(chunks, "block").join(every, "block").withColumn("probe", F.lit(True))
-        .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")))
+    right = outside.drop("tree").join(chunks, "block").join(every, "block").select(
+        "block", "tree", "doc_id", "grp", yes, F.pmod(F.xxhash64("doc_id"), F.col("chunks")).alias("chunk")
     )
-    columns = ["block", "tree", "chunk", "doc_id", "tokens", "grp", "probe"]
-    rest = _searched(left.select(*columns).unionByName(right.select(*columns)), percent, "block", "tree", "chunk")
-    return links.unionByName(rest)
+    rows = left.unionByName(right).join(found, "doc_id")
+    return links.unionByName(_searched(rows, n, percent, "block", "tree", "chunk"))
 
 
 def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -247,8 +237,9 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     without an id, which links with nothing (component null).
 
     Two documents link when ``100 * shared >= percent * all`` n-grams; a component is named
-    by its smallest id. Null, empty and blank texts have no n-gram and link with nothing. Of
-    rows that share an id all links count, and the largest set's size is given. Other columns
+    by its smallest id. Null, empty and blank texts have no n-gram and link with nothing. Rows
+    that share an id are one document, of which one row is compared; the largest set's size
+    is given. Other columns
     are ignored, whatever their names; an empty table gives no rows.
     """
     signed = written(_signed(docs, n, percent), "jaccard-signed")
@@ -278,15 +269,16 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
         "doc_id", "block", F.pmod(F.xxhash64("doc_id"), F.col("trees")).alias("tree")
     )
     placed = written(places, "jaccard-places")
-    own = lambda df: df.withColumn("grp", F.col("doc_id")).withColumn("probe", F.lit(True))
+    texts = written(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(placed, "doc_id"),
+        "jaccard-texts",
+    )
+    own = texts.withColumns({"grp": F.col("doc_id"), "probe": F.lit(True)})
+    links = _searched(own, n, percent, "block", "tree")
     split = trees.filter("trees > 1")
-    if split.isEmpty():
-        links = _searched(own(_sets(docs, placed, n)), percent, "block", "tree")
-    else:
-        sets = written(_sets(docs, placed, n), "jaccard-sets")
-        links = written(_searched(own(sets), percent, "block", "tree"), "jaccard-links")
-        far = sets.join(split.select("block"), "block", "left_semi")
-        links = _split_links(far, split, links, percent)
+    if not split.isEmpty():
+        links = written(links, "jaccard-links")
+        links = _split_links(texts, placed, split, links, n, percent)
     same = members.filter("doc_id != first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     groups = connected_components(links.unionByName(same))
     known = signed.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("n").alias("n"))
