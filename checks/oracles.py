@@ -464,7 +464,7 @@ def all_oracles() -> dict[str, str]:
       coalesce(j->>'$.properties.name[0]', '') AS os_name,
       coalesce(j->>'$.properties.country[0]', '') AS os_country, j->>'$.schema' AS os_schema,
       array_to_string((j->>'$.datasets[*]'), ',') AS os_datasets FROM good
-      WHERE j->>'$.schema' IN ({quoted(R.WATCHLIST_SCHEMAS)}) ORDER BY 1 LIMIT 20000""")
+      WHERE j->>'$.schema' IN ({quoted(R.WATCHLIST_SCHEMAS)})""")
     add("src_a7_corrupt_lines", lines, """SELECT count(*) AS corrupt_lines FROM lines
       WHERE trim(value) <> '' AND NOT json_valid(value)""")
 
@@ -493,11 +493,11 @@ def all_oracles() -> dict[str, str]:
     add("norm_c10_clean_entities", BASE, "SELECT * EXCLUDE (other_names) FROM real")
     parts = ", ".join(blank(f"legal_address_{p}") for p in ("line1", "city", "postal"))
     add("norm_c11_text_profile", BASE, f"""SELECT lei, ingest_ord,
-      coalesce({blank('legal_name')}, {blank('normalized_name')}, 'Unknown')
-      || ' is a legal entity registered in ' || coalesce(jurisdiction, 'unknown jurisdiction')
-      || ', located in ' || coalesce(country, 'unknown country') || ', with status '
-      || coalesce(entity_status, 'unknown status') || '. Address: '
-      || coalesce(nullif(concat_ws(', ', {parts}), ''), 'no address on record') || '.'
+      coalesce({blank('legal_name')}, {blank('normalized_name')}, '(unnamed)')
+      || ' | jurisdiction: ' || coalesce(jurisdiction, '-')
+      || ' | country: ' || coalesce(country, '-') || ' | status: '
+      || coalesce(entity_status, '-') || ' | address: '
+      || coalesce(nullif(concat_ws(', ', {parts}), ''), '-')
       AS profile FROM real""")
     add("norm_c12_address_json", BASE, f"""SELECT ingest_ord, to_json({{'line1':
       legal_address_line1, 'city': legal_address_city, 'postal': legal_address_postal}})::VARCHAR

@@ -18,7 +18,7 @@ from orgkin.operators import (
     graph, keyed, merge, quality, reports, resolve, review, search, vectors,
 )
 from orgkin.operators.clean import clean_columns, clean_entities, stage_boundary
-from orgkin.refdata import ENTITY_STATUSES, REGISTRATION_STATUSES, REVIEW
+from orgkin.refdata import DUPLICATE_SAMPLE, ENTITY_STATUSES, REGISTRATION_STATUSES, REVIEW
 from orgkin.session import scratch_dir
 from orgkin.sources import registry, tables, watchlist
 
@@ -367,7 +367,7 @@ def er_j12_labelled_duplicates(spark, sf):
 
 
 def er_j12_sampled_duplicates(spark, sf):
-    return resolve.labelled_duplicates(raw(spark, sf)).select("ingest_ord", "lei", "legal_name")
+    return resolve.labelled_duplicates(raw(spark, sf), DUPLICATE_SAMPLE).select("ingest_ord", "lei", "legal_name")
 
 
 def er_e1_pair_join(spark, sf):

@@ -114,6 +114,8 @@ def exact_sample(df: DataFrame, n: int, seed: int, keys: Sequence[str]) -> DataF
     digest = F.md5(F.concat_ws(":", *parts, F.lit(str(seed))))
     hashed = df.withColumn("_h", digest)
     order = [F.asc("_h"), *[F.asc(k) for k in keys]]
+    if n <= 0:
+        return df.limit(0)
     taken, prefix, need = [], "", n
     while need > IN_ONE_GO and len(prefix) < 32:
         step = len(prefix) + 4

@@ -76,12 +76,12 @@ def noisy_name(name: Column | str, identity: Column) -> Column:
 
 def labelled_duplicates(
     raw: DataFrame,
-    n: int | None = R.DUPLICATE_SAMPLE,
+    n: int | None = None,
     seed: int = R.DUPLICATE_SEED,
     identity: tuple[str, ...] = ("lei", "ingest_ord"),
     first_by: str | None = None,
 ) -> DataFrame:
-    """Noisy copies of ``n`` sampled raw rows (all rows when None) under a marked key.
+    """Noisy copies of all raw rows, or of a sample of ``n``, under a marked key.
 
     ``origin_lei`` keeps the true key for evaluation. ``first_by`` keeps only the first
     named row per key before any noise is made, for callers that clean the copies by

@@ -18,6 +18,11 @@ _PAGE = (
 )
 
 
+def _contains(text: str) -> str:
+    """A LIKE pattern for the text anywhere; a backslash in it is an ordinary character."""
+    return "%" + text.replace("\\", "\\\\") + "%"
+
+
 def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
@@ -37,13 +42,13 @@ def entity_filter(
     """Conjunction of the given arguments; '%' and '_' in text act as wildcards."""
     conditions = []
     if query:
-        like = f"%{query}%"
+        like = _contains(query)
         names = [F.col(c).ilike(like) for c in ("normalized_name", "lei", "legal_name")]
         conditions.append(names[0] | names[1] | names[2])
     if country:
         conditions.append(F.col("country") == country.upper())
     if jurisdiction:
-        conditions.append(F.col("jurisdiction").ilike(f"%{jurisdiction}%"))
+        conditions.append(F.col("jurisdiction").ilike(_contains(jurisdiction)))
     if entity_status:
         conditions.append(F.col("entity_status") == entity_status.upper())
     return _all(conditions)

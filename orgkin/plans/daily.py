@@ -36,7 +36,7 @@ def run_daily(
     folder: str,
     as_of: dt.datetime,
     run_id: str,
-    duplicates: int | None = R.DUPLICATE_SAMPLE,
+    duplicates: int | None = None,
     relationships: DataFrame | None = None,
     previous: Run | None = None,
     dimensions: int = vectors.DIMENSIONS,

@@ -29,10 +29,8 @@ REGISTRY_COLUMNS = {
     "Registration.ManagingLOU": "managing_lou",
 }
 
-# --- Fixed values: watchlist schemas kept by the scan, and its row cap ---------------
+# --- Fixed values: watchlist schemas kept by the scan, and sampling sizes ------------
 WATCHLIST_SCHEMAS = ("Company", "Organization", "LegalEntity")
-WATCHLIST_CAP = 20_000
-REGISTRY_SAMPLE = 50_000
 REGISTRY_SEED = 42
 DUPLICATE_SAMPLE = 5_000
 DUPLICATE_SEED = 99

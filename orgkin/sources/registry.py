@@ -24,9 +24,9 @@ def map_registry_columns(df: DataFrame) -> DataFrame:
 
 
 def read_registry(
-    spark: SparkSession, path: str, n: int | None = R.REGISTRY_SAMPLE, seed: int = R.REGISTRY_SEED
+    spark: SparkSession, path: str, n: int | None = None, seed: int = R.REGISTRY_SEED
 ) -> DataFrame:
-    """Mapped extract in the canonical schema, sampled to ``n`` rows (all when None)."""
+    """Mapped extract in the canonical schema, all rows unless a sample of ``n`` is asked for."""
     rows = schemas.conform(map_registry_columns(scan_registry_csv(spark, path)), schemas.REGISTRY)
     if n is None:
         return rows

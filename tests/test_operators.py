@@ -423,3 +423,25 @@ def test_daily_batch_twice(spark, tmp_path):
     assert search.latest_quality(report, runs).first().total_records == 60
     clean = stage_boundary(spark.read.parquet(one.path("clean_entities")))
     assert clean.filter(F.col("legal_address_line1").isNotNull()).count() == 0
+
+
+def test_reads_keep_all_rows_unless_asked(spark):
+    import inspect
+
+    from orgkin.operators import keyed, resolve
+    from orgkin.plans import daily
+    from orgkin.sources import registry, watchlist
+
+    for function, name in (
+        (watchlist.watchlist_rows, "cap"), (watchlist.read_watchlist, "cap"), (registry.read_registry, "n"),
+        (resolve.labelled_duplicates, "n"), (daily.run_daily, "duplicates"),
+    ):
+        assert inspect.signature(function).parameters[name].default is None
+    assert keyed.exact_sample(spark.range(5), 0, 1, ["id"]).count() == 0
+
+
+def test_search_text_with_a_backslash(spark):
+    from orgkin.operators.search import _contains
+
+    rows = spark.createDataFrame([("a\\b",), ("ab",)], "n string")
+    assert [r.n for r in rows.filter(rows.n.ilike(_contains("a\\b"))).collect()] == ["a\\b"]
