@@ -4,8 +4,11 @@
    than two sets that link can differ in, so two such sets agree on a whole part; each set
    gives a signature for each of its parts. How many parts depends on the size level; a set
    near the end of a level also signs for the next one. Parts of few n-grams are left out.
-2. Sets with a common signature are joined to the smallest id there, never pair by pair, and
-   the connected components of these edges are the blocks inside which links can lie.
+2. Sets with a common signature are joined to the smallest id there, never pair by pair: sets
+   that may link are members of one leader. Each set also has a histogram of its hashes, which
+   bounds the difference of two sets from below; of a leader's members only those stay
+   connected that the bound allows. Leaders with more than MEMBERS keep all their edges. The
+   connected components of the edges are the blocks inside which links can lie.
 3. A block's sets are put into a prefix tree and searched; see ``prefix_tree``. A block above
    TREE_TOKENS is dealt over several trees: each is searched for itself, then the anchors of
    its largest groups are searched for in every tree, then whatever is still outside the
@@ -35,6 +38,8 @@ WORDS = 4
 PERCENT = 85
 LEVEL_RATIO = 1.6
 TREE_TOKENS = 1_000_000  # n-grams in one tree, about 30 MB
+MEMBERS = 4096  # sets of one leader that are compared by their histograms in one task
+BUCKETS = 256  # of a histogram, one byte each
 ANCHORS = 16  # largest groups of a tree that are searched for in all trees of the block
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -123,7 +128,34 @@ def _digest(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(pair.view(np.int64).tolist())
 
 
-SIGNED = "doc_id long, n long, h1 long, h2 long, keys array<long>"
+def histogram(tokens: np.ndarray) -> np.ndarray:
+    """How many of the hashes fall into each bucket, modulo 256."""
+    return np.bincount((tokens & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS).astype(np.uint8)
+
+
+def may_link(one: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the other sets are not ruled out by the histograms: the counts of two sets
+    differ by no more than their symmetric difference, also modulo 256."""
+    off = np.abs((others - one).view(np.int8)).view(np.uint8).sum(axis=1, dtype=np.int64)
+    return off * (100 + percent) <= (100 - percent) * (sizes + size)
+
+
+def _connected(histograms: np.ndarray, sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Edges that connect whatever ``may_link`` connects: each set is visited once and takes
+    those that nobody has taken."""
+    free, edges, todo = np.arange(len(sizes)), [], []
+    while len(free):
+        if not todo:
+            todo, free = [free[0]], free[1:]
+        at = todo.pop()
+        near = may_link(histograms[at], sizes[at], histograms[free], sizes[free], percent)
+        todo.extend(free[near])
+        edges.extend((int(at), int(x)) for x in free[near])
+        free = free[~near]
+    return edges
+
+
+SIGNED = "doc_id long, n long, h1 long, h2 long, keys array<long>, counts binary"
 AT_ONCE = 4_000_000  # characters of texts that are hashed together
 
 
@@ -143,7 +175,7 @@ def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
         signatures = Signatures(percent)
         seen = set()
         for batch, texts in _text_batches(batches):
-            sizes, h1, h2, keys = [], [], [], []
+            sizes, h1, h2, keys, counts = [], [], [], [], []
             for tokens in shingle_sets(texts, n):
                 a, b = _digest(tokens)
                 sizes.append(len(tokens))
@@ -152,17 +184,45 @@ def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 new = (a, b) not in seen
                 seen.add((a, b))
                 keys.append(signatures.of(tokens) if new else np.zeros(0, np.int64))
+                counts.append(histogram(tokens).tobytes() if len(keys[-1]) else None)
             ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(h1, pa.int64()),
                  pa.array(h2, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))],
-                ["doc_id", "n", "h1", "h2", "keys"],
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys))),
+                 pa.array(counts, pa.binary())],
+                ["doc_id", "n", "h1", "h2", "keys", "counts"],
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(sign, SIGNED)
 
 
+def _possible(edges: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """``doc_id, leader`` -> ``a, b``: edges that still connect every two members of a leader
+    that may link."""
+    def prune(batches):
+        for group in runs_of(batches, "leader"):
+            ids, sizes = group.column("doc_id").to_numpy(), group.column("n").to_numpy()
+            counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), np.uint8)
+            found = _connected(counts.reshape(-1, BUCKETS), sizes, percent)
+            if found:
+                a, b = np.array(found).T
+                yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
+
+    edges = written(edges, "jaccard-edges")
+    sizes = edges.groupBy("leader").agg(F.count(F.lit(1)).alias("_n"))
+    few = sizes.filter(F.col("_n") < MEMBERS).select("leader")
+    many = sizes.filter(F.col("_n") >= MEMBERS).select("leader")
+    small = edges.join(few, "leader", "left_semi").unionByName(
+        few.select("leader", F.col("leader").alias("doc_id"))
+    )
+    shapes = signed.filter(F.col("counts").isNotNull()).select("doc_id", "n", "counts")
+    dealt = small.join(shapes, "doc_id").select("leader", "doc_id", "n", "counts").repartition("leader")
+    kept = dealt.sortWithinPartitions("leader").mapInArrow(prune, "a long, b long")
+    whole = edges.join(many, "leader", "left_semi")
+    return kept.unionByName(whole.select(F.col("doc_id").alias("a"), F.col("leader").alias("b")))
+
+
 def _searched(rows: DataFrame, n: int, percent: int, *keys: str) -> DataFrame:
     """Links ``a, b`` found in the tree of each group: rows ``doc_id, text, grp, probe``."""
     def search(batches):
@@ -254,9 +314,10 @@ def jaccard_components(docs: DataFrame, n: int = WORDS, percent: int = PERCENT)
     edges = meets.filter("doc_id != leader").select("doc_id", "leader").distinct()
     firsts = members.select("doc_id", "first")
     candidates = (
-        edges.join(firsts, "doc_id").select(F.col("first").alias("a"), "leader")
-        .join(firsts.select(F.col("doc_id").alias("leader"), F.col("first").alias("b")), "leader")
-        .select("a", "b")
+        _possible(edges, filled, percent)
+        .join(firsts.select(F.col("doc_id").alias("a"), F.col("first").alias("_a")), "a")
+        .join(firsts.select(F.col("doc_id").alias("b"), F.col("first").alias("_b")), "b")
+        .select(F.col("_a").alias("a"), F.col("_b").alias("b"))
     )
     blocks = connected_components(candidates).select(
         F.col("node").alias("doc_id"), F.col("component").alias("block")

@@ -77,9 +77,10 @@ def _jaccard(rows, n, percent):
     return {i: (len(sets[i]), root(i)) for i in ids}
 
 
-@pytest.mark.parametrize("tokens", [1_000_000, 1_500])
-def test_jaccard_components(documents, awkward, monkeypatch, tokens):
+@pytest.mark.parametrize(("tokens", "members"), [(1_000_000, 4096), (1_500, 4096), (1_500, 3)])
+def test_jaccard_components(documents, awkward, monkeypatch, tokens, members):
     monkeypatch.setattr(jaccard_join, "TREE_TOKENS", tokens)  # the smaller one splits blocks
+    monkeypatch.setattr(jaccard_join, "MEMBERS", members)  # the smaller one leaves leaders whole
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(documents).collect()}
     assert found == _jaccard(rows, 4, 85)
@@ -107,6 +108,21 @@ def test_signatures_lose_no_link():
             assert np.intersect1d(signatures.of(a), signatures.of(b)).size
 
 
+def test_histograms_rule_out_no_link():
+    rng = np.random.default_rng(4)
+    for size in (1, 7, 60, 900, 90_000):
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        for gone in (0, size * 15 // 185, size * 20 // 185, size // 2, size):
+            b = np.unique(np.concatenate([a[gone:], rng.integers(0, 1 << 63, gone, dtype=np.uint64)]))
+            shared = len(np.intersect1d(a, b))
+            links = 100 * shared >= 85 * (len(a) + len(b) - shared)
+            may = jaccard_join.may_link(
+                jaccard_join.histogram(a), len(a), jaccard_join.histogram(b)[None], np.array([len(b)]), 85
+            )[0]
+            assert may or not links
+            assert links or not may or gone < size // 2 or size > 10_000
+
+
 def test_prefix_tree_finds_all_links():
     rng = np.random.default_rng(5)
     for _ in range(60):
