@@ -114,19 +114,29 @@ def posterior_column(voters: list[str], patterns: np.ndarray, posterior: np.ndar
     return F.element_at(table, key)
 
 
+def hashed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``features``: their ``tokens`` as a sparse vector of zeros and ones."""
+    return HashingTF(numFeatures=DIMENSIONS, binary=True, inputCol="tokens", outputCol="features").transform(rows)
+
+
 def scored(rows: DataFrame, labelled: DataFrame) -> DataFrame:
-    """``rows`` with ``score``: a logistic scorer of hashed tokens.
+    """``rows`` with ``score``: as ``scored_features``, with a column ``tokens`` on both."""
+    out = scored_features(hashed(rows), hashed(labelled.select("tokens", "posterior")))
+    return out.select(*rows.columns, "score")
+
+
+def scored_features(rows: DataFrame, labelled: DataFrame) -> DataFrame:
+    """``rows`` with ``score``: a logistic scorer.
 
-    ``rows``: a column ``tokens``; ``labelled``: ``tokens`` and ``posterior``, at most
+    ``rows``: a column ``features``; ``labelled``: ``features`` and ``posterior``, at most
     TRAINED_ON rows of it. Every row trains both classes, weighted by its posterior.
     """
     spark = rows.sparkSession
-    hashing = HashingTF(numFeatures=DIMENSIONS, binary=True, inputCol="tokens", outputCol="features")
     sides = F.explode(F.array(
         F.struct(F.lit(1.0).alias("label"), F.col("posterior").alias("weight")),
         F.struct(F.lit(0.0).alias("label"), (1 - F.col("posterior")).alias("weight")),
     ))
-    data = hashing.transform(labelled.select("tokens", sides.alias("side"))).select(
+    data = labelled.select("features", sides.alias("side")).select(
         "features", "side.label", "side.weight"
     ).filter("weight > 0.001")
     data = written(data, "scorer-training")
@@ -136,5 +146,5 @@ def scored(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     model = LogisticRegression(maxIter=30, regParam=1e-3, weightCol="weight", standardization=False).fit(
         data.repartition(max(2, spark.sparkContext.defaultParallelism))
     )
-    out = model.transform(hashing.transform(rows))
+    out = model.transform(rows)
     return out.select(*rows.columns, F.get(vector_to_array("probability"), 1).alias("score"))

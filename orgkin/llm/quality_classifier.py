@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orgkin.llm import label_model as L
-from orgkin.llm.common import SPACES, documents, words
+from orgkin.llm.common import SPACES, documents, words, written
 
 # --- Fixed values: frequent words of English, German, French and Spanish -----------------
 STOP_WORDS = (
@@ -20,15 +20,14 @@ STOP_WORDS = (
 ).split()
 
 
-def _statistics(text: Column) -> dict[str, Column]:
+def _statistics(text: Column, w: Column, kinds: Column) -> dict[str, Column]:
+    """``w``: the words of the text, ``kinds``: the distinct ones."""
     text = F.coalesce(text, F.lit(""))
-    w = words(text)
     lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACES, "") != "")
     ended = F.filter(lines, lambda x: F.rtrim(x).rlike(r"[.!?…\"')]$"))
     chars = F.length(F.translate(text, SPACES, ""))
     letters = F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
     n, c = F.greatest(F.size(w), F.lit(1)), F.greatest(chars, F.lit(1))
-    kinds = F.array_distinct(F.transform(w, F.lower))
     return {
         "_words": F.size(w).cast("double"),
         "_letters": letters / c,
@@ -63,21 +62,15 @@ def quality(docs: DataFrame) -> DataFrame:
     columns are ignored; an empty table gives no rows. If all votes fall into one class,
     every score is that class's.
     """
-    stats = _statistics(F.col("text"))
-    rows = docs.select("doc_id", F.col("text").alias("text")).withColumns(stats)
+    rows = (
+        docs.select("doc_id", F.col("text").alias("text"))
+        .withColumn("_w", words(F.lower("text"))).withColumn("_k", F.array_distinct("_w"))
+    )
+    rows = rows.withColumns(_statistics(F.col("text"), F.col("_w"), F.col("_k")))
     votes = {
         name: F.when(F.expr(bad), -1).when(F.expr(good), 1).otherwise(0)
         for name, (bad, good) in LABELLERS.items()
     }
-    voters = list(LABELLERS)
-    voted = rows.withColumns(votes)
-    patterns, counts, _ = L.pattern_counts(voted, voters)
-    if len(patterns):
-        start = 1 / (1 + np.exp(-(patterns.sum(1) - 1.0)))
-        model = L.fit(patterns, counts, start)
-        posterior = L.posterior_column(voters, patterns, model.posterior(patterns))
-    else:
-        posterior = F.lit(0.0)
     # Tokens: word kinds and the statistics in coarse steps.
     step = lambda c, k: F.floor(F.col(c) * k).cast("string")
     shapes = F.array(
@@ -89,13 +82,23 @@ def quality(docs: DataFrame) -> DataFrame:
         F.concat(F.lit("#stops"), F.least("_stops", F.lit(9.0)).cast("string")),
         F.concat(F.lit("#line"), F.floor(F.log2(F.col("_line") + 1)).cast("string")),
     )
-    kinds = F.array_distinct(F.transform(words(F.col("text")), F.lower))
-    tokens = F.concat(shapes, kinds).alias("tokens")
-    total = int(counts.sum())
-    share = min(1.0, L.TRAINED_ON / max(total, 1))
-    sampled = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(share * (1 << 20))
-    train = voted.filter(sampled).select(tokens, posterior.alias("posterior"))
-    result = L.scored(rows.select("doc_id", tokens), train)
+    # Everything that later steps need of a text, so that each text is read once.
+    at = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)).alias("_at")
+    read = L.hashed(rows.withColumns(votes).withColumn("tokens", F.concat(shapes, "_k")))
+    voted = written(read.select("doc_id", *LABELLERS, at, "features"), "quality-votes")
+    voters = list(LABELLERS)
+    patterns, counts, _ = L.pattern_counts(voted, voters)
+    if len(patterns):
+        start = 1 / (1 + np.exp(-(patterns.sum(1) - 1.0)))
+        model = L.fit(patterns, counts, start)
+        posterior = L.posterior_column(voters, patterns, model.posterior(patterns))
+    else:
+        posterior = F.lit(0.0)
+    share = min(1.0, L.TRAINED_ON / max(int(counts.sum()), 1))
+    train = voted.filter(F.col("_at") < int(share * (1 << 20)))
+    result = L.scored_features(
+        voted.select("doc_id", "features"), train.select("features", posterior.alias("posterior"))
+    )
     return result.select("doc_id", "score", (F.col("score") >= 0.5).alias("kept"))
 
 
