@@ -30,7 +30,7 @@ from orgkin.llm.common import documents
 VOCABULARY = "byte_bpe_50k.tiktoken"
 FIRST_CHAR = 0x100  # byte b is the character FIRST_CHAR + b: no byte is white space
 CACHED = 300_000  # distinct matches whose ids a worker remembers
-AT_ONCE = 500_000  # matches that are looked up together
+AT_ONCE = 150_000  # matches that are looked up together
 LONG = 1_000_000  # characters from which a text is cut into parts of so many matches
 
 
@@ -148,8 +148,11 @@ class Codec:
             out[at].append(b"".join([seen[m] for m in part]))
 
     def decode(self, ids) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in ids])
+        """``ids`` is an Arrow array; long ones are taken in parts."""
+        tokens, parts = self.tokens, range(0, len(ids), AT_ONCE)
+        return b"".join([
+            b"".join([tokens[i] for i in ids.slice(k, AT_ONCE).to_pylist()]) for k in parts
+        ])
 
 
 _codecs: dict[str, Codec] = {}
@@ -192,7 +195,7 @@ class ByteBpe:
         def decode(lists: pa.Array) -> pa.Array:
             codec = _codec(shared)
             return pa.array(
-                [codec.decode(x.values.to_pylist()) if x.is_valid else None for x in lists], pa.binary()
+                [codec.decode(x.values) if x.is_valid else None for x in lists], pa.binary()
             )
 
         @F.arrow_udf(T.StringType())
