@@ -119,17 +119,19 @@ def hashed(rows: DataFrame) -> DataFrame:
     return HashingTF(numFeatures=DIMENSIONS, binary=True, inputCol="tokens", outputCol="features").transform(rows)
 
 
-def scored(rows: DataFrame, labelled: DataFrame) -> DataFrame:
+def scored(rows: DataFrame, labelled: DataFrame, sparse: float = 0.0) -> DataFrame:
     """``rows`` with ``score``: as ``scored_features``, with a column ``tokens`` on both."""
-    out = scored_features(hashed(rows), hashed(labelled.select("tokens", "posterior")))
+    out = scored_features(hashed(rows), hashed(labelled.select("tokens", "posterior")), sparse)
     return out.select(*rows.columns, "score")
 
 
-def scored_features(rows: DataFrame, labelled: DataFrame) -> DataFrame:
+def scored_features(rows: DataFrame, labelled: DataFrame, sparse: float = 0.0) -> DataFrame:
     """``rows`` with ``score``: a logistic scorer.
 
     ``rows``: a column ``features``; ``labelled``: ``features`` and ``posterior``, at most
     TRAINED_ON rows of it. Every row trains both classes, weighted by its posterior.
+    ``sparse``: share of the penalty on absolute weights. Near 1 it leaves few features,
+    which suits a class that a few words of a long text tell.
     """
     spark = rows.sparkSession
     sides = F.explode(F.array(
@@ -143,8 +145,10 @@ def scored_features(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     classes = data.agg(F.min("label").alias("l"), F.max("label").alias("h")).first()
     if classes.l is None or classes.l == classes.h:
         return rows.withColumn("score", F.lit(float(classes.l or 0.0)))
-    model = LogisticRegression(maxIter=30, regParam=1e-3, weightCol="weight", standardization=False).fit(
-        data.repartition(max(2, spark.sparkContext.defaultParallelism))
+    learner = LogisticRegression(
+        maxIter=60 if sparse else 30, regParam=1e-3, elasticNetParam=sparse, weightCol="weight",
+        standardization=False,
     )
+    model = learner.fit(data.repartition(max(2, spark.sparkContext.defaultParallelism)))
     out = model.transform(rows)
     return out.select(*rows.columns, F.get(vector_to_array("probability"), 1).alias("score"))

@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
 Voters are lexicons and patterns. Some are fixed; the others are words and word beginnings
-that stand out in toxic documents among the labelled ones. A label model estimates from the
+that stand out in toxic documents among the labelled ones, and beginnings that several words
+of a text share. A label model estimates from the
 votes on all documents how accurate and how correlated the voters are. A linear classifier
 of hashed words is trained on the posterior labels and scores every document.
 
@@ -22,7 +23,9 @@ FOLDS = 5
 MINED = 360  # words, and as many beginnings, that make up the mined lexicons
 LEXICONS = 4
 LEAST_SEEN = 3
-BEGIN = 7
+BEGIN = 5
+SHARED = (2, 3, 4)  # words with the same beginning that are a feature of their own
+SPARSE = 0.8  # of the scorer's penalty: few of the many words tell toxicity
 # --- Fixed values: insults of a general English list -----------------------------------
 INSULTS = (
     "idiot idiots stupid moron morons loser losers scum trash clown pathetic worthless disgusting "
@@ -44,14 +47,31 @@ def _words(text: Column) -> Column:
 
 
 def _beginnings(words: Column) -> Column:
-    """Beginnings of the words that are longer."""
+    """Beginnings of the words that are longer, one for each word."""
     long = F.filter(words, lambda w: F.length(w) > BEGIN)
     return F.transform(long, lambda w: F.concat(F.lit("^"), F.substr(w, F.lit(1), F.lit(BEGIN))))
 
 
-def _tokens(text: Column) -> Column:
-    words = _words(text)
-    return F.concat(words, F.array_distinct(_beginnings(words)))
+def _shared(begins: Column, times: int) -> Column:
+    """Beginnings, marked with ``times``, that as many words or more of the text share.
+
+    ``begins`` is sorted, so such a beginning equals the one ``times - 1`` places on.
+    """
+    later = F.slice(begins, F.lit(times), F.size(begins))
+    return F.array_compact(F.zip_with(
+        begins, later, lambda x, y: F.when(x == y, F.concat(x, F.lit(f"*{times}")))
+    ))
+
+
+def _tokenized(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``tokens``: words, beginnings, and beginnings of several words.
+
+    Each step is a column of its own, so that no text is split twice.
+    """
+    steps = rows.withColumn("_words", _words(F.col("text")))
+    steps = steps.withColumn("_begins", F.array_sort(_beginnings(F.col("_words"))))
+    parts = [F.col("_words"), F.col("_begins"), *[_shared(F.col("_begins"), k) for k in SHARED]]
+    return steps.withColumn("tokens", F.array_distinct(F.concat(*parts))).drop("_words", "_begins")
 
 
 def _mined(labelled: DataFrame) -> list[list[str]]:
@@ -85,7 +105,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     total = known.count()
     share = min(1.0, L.TRAINED_ON / max(total, 1))
     known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    labelled = rows.join(known, "doc_id").select("doc_id", "text", "toxic", _tokens(F.col("text")).alias("tokens"))
+    labelled = _tokenized(rows.join(known, "doc_id").select("doc_id", "text", "toxic"))
     labelled = written(labelled, "toxic-labelled")
     lexicons = _mined(labelled)
 
@@ -103,7 +123,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     voters = [f"_v{k}" for k in range(LEXICONS)] + ["_v_list", "_v_disguised", "_v_addressed", "_v_many"]
     voted = vote(labelled, F.col("tokens"))
-    everything = vote(rows.withColumn("tokens", _tokens(F.col("text"))), F.col("tokens"))
+    everything = vote(_tokenized(rows), F.col("tokens"))
     patterns, counts, _ = L.pattern_counts(everything, voters)
     mine, _, anchor = L.pattern_counts(voted, voters, F.col("toxic"))
     place = {tuple(p): i for i, p in enumerate(patterns.tolist())}
@@ -117,7 +137,7 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     else:
         posterior = F.lit(0.0)
     train = voted.select("tokens", posterior.alias("posterior"))
-    result = L.scored(rows.select("doc_id", "held_out", _tokens(F.col("text")).alias("tokens")), train)
+    result = L.scored(_tokenized(rows).drop("text"), train, SPARSE)
     return result.select(
         "doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
     )

@@ -305,6 +305,8 @@ def test_toxicity_and_quality(spark, documents, awkward, empty):
     held = toxicity.toxicity(docs, labels).filter("held_out").join(labels, "doc_id").select("score", "toxic", "predicted").collect()
     pos, neg = [r.score for r in held if r.toxic], [r.score for r in held if not r.toxic]
     assert np.mean([np.mean(p > np.array(neg)) for p in pos]) > 0.9
+    assert np.mean([r.predicted for r in held if r.toxic]) > 0.8
+    assert np.mean([r.predicted for r in held if not r.toxic]) < 0.03
     small = toxicity.toxicity(awkward, labels.limit(0)).collect()
     assert len(small) == 9 and all(0 <= r.score <= 1 for r in small)
     good = quality_classifier.quality(docs).join(labels, "doc_id").select("score", "quality").collect()
