@@ -309,7 +309,7 @@ def sink_b4_upsert_entities(spark, sf):
 
 def sink_b4_upsert_small_load(spark, sf):
     before, load = _upsert_inputs(spark, sf)
-    return _addresses(merge.upsert_entities(before, load, AS_OF, small_source=True))
+    return _addresses(merge.upsert_entities(before, load, AS_OF))
 
 
 def sink_b4_upsert_repeated_keys(spark, sf):

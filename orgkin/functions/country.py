@@ -12,10 +12,11 @@ from orgkin.refdata import COUNTRY_ALIASES, iso_countries
 
 
 def _name_key(c: Column) -> Column:
-    """Upper-case ASCII words, '&' read as AND, punctuation ignored."""
-    x = F.upper(ascii_fold(c))
+    """Upper-case ASCII words, '&' read as AND, other punctuation and a leading THE ignored."""
+    x = F.regexp_replace(F.upper(ascii_fold(c)), "['`\u2019]", "")
     x = F.regexp_replace(x, "&", " AND ")
-    return F.trim(F.regexp_replace(x, "[^A-Z]+", " "))
+    x = F.trim(F.regexp_replace(x, "[^A-Z]+", " "))
+    return F.regexp_replace(x, "^THE ", "")
 
 
 @lru_cache(maxsize=1)
@@ -37,12 +38,16 @@ def _lookups() -> tuple[dict[str, str], dict[str, str]]:
 def normalize_country(c: Column | str) -> Column:
     """Two letters pass; then alpha-3, name or alias, unique name prefix; else 2 characters.
 
+    "A, B" is also read as "B A", then as "A" alone.
     The lookup tables are literals of fixed size, so no join enters the plan.
     Null becomes ''.
     """
     alpha3, names = _lookups()
     code = F.upper(strip(F.coalesce(_col(c), F.lit(""))))
     key = _name_key(code)
+    two_parts = F.contains(code, F.lit(","))
+    before = _name_key(F.substring_index(code, ",", 1))
+    swapped = _name_key(F.regexp_replace(code, r"^([^,]*),(.*)$", "$2 $1"))
     by_name = literal_map(names)
     starts = F.array_distinct(
         F.transform(
@@ -57,6 +62,8 @@ def normalize_country(c: Column | str) -> Column:
         F.coalesce(
             F.when(F.length(code) == 3, F.try_element_at(literal_map(alpha3), code)),
             F.try_element_at(by_name, key),
+            F.when(two_parts, F.try_element_at(by_name, swapped)),
+            F.when(two_parts, F.try_element_at(by_name, before)),
             by_prefix,
             F.substring(code, 1, 2),
         )

@@ -84,11 +84,17 @@ def _known(rows: DataFrame, nodes: DataFrame, *columns: str) -> DataFrame:
     return rows
 
 
-def match_edges(matches: DataFrame, nodes: DataFrame, order: str = "id") -> DataFrame:
-    """Edges of merge and review decisions between known companies, last one per pair."""
+def match_edges(matches: DataFrame, nodes: DataFrame, order: str = "created_at") -> DataFrame:
+    """Edges of merge and review decisions between known companies, last one per pair.
+
+    Of rows with equal ``order`` the best scored stays, then the larger decision.
+    """
     linked = matches.filter(F.col("decision").isin(*R.LINKED_DECISIONS))
     known = _known(linked, nodes, "lei_a", "lei_b")
-    last = first_per_key(known, ["lei_a", "lei_b"], F.desc(order))
+    newest = [F.desc(order)] if order in matches.columns else []
+    last = first_per_key(
+        known, ["lei_a", "lei_b"], *newest, F.desc("final_score"), F.desc("decision")
+    )
     return _edges(
         last, F.col("lei_a"), F.col("lei_b"), F.lit(MATCHED_TO), F.lit(COMPANY),
         F.col("final_score"), F.col("decision"),

@@ -8,12 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-SALT_ABOVE_BYTES = 4 << 30  # many-side plans below this are joined plainly
 HOT_ROWS = 1_000_000  # rows from which a key counts as hot
 MAX_HOT_KEYS = 10_000  # broadcast bound: any later key has < 1/10,000 of the rows
 SALTS = 64
 SPREAD_BELOW_BYTES = 256 << 20
-SMALL_BYTES = 64 << 20  # largest side ever named as a broadcast candidate
 
 
 def planned_bytes(df: DataFrame) -> int | None:
@@ -74,17 +72,17 @@ def keyed_join(
     key: str,
     how: str = "inner",
     salt_by: Sequence[str] | None = None,
-    salt_above: int = SALT_ABOVE_BYTES,
+    salted: bool = False,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join a large side with a side that has at most one row per key.
 
-    Below ``salt_above`` this is a plain join. Above it, rows of hot keys are dealt
-    over SALTS sub-keys by their own content and the matching single rows are copied
-    to every sub-key. Every row still meets its partner exactly once.
+    This is a plain join, whose hot partitions adaptive execution splits while it runs,
+    from what they hold then. With ``salted``, for sessions without it, rows of hot keys
+    are dealt over SALTS sub-keys by their own content and the matching single rows are
+    copied to every sub-key. Every row still meets its partner exactly once.
     """
-    size = planned_bytes(many)
-    if size is not None and size < salt_above:
+    if not salted:
         return many.join(one, key, how)
     hot = F.broadcast(hot_keys(many, key, hot_rows))
     content = [F.col(c) for c in (salt_by or many.columns)]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from orgkin import schemas
 from orgkin.functions.profile import pack_hq_address, pack_legal_address
-from orgkin.operators.keyed import SMALL_BYTES, first_per_key, planned_bytes
+from orgkin.operators.keyed import first_per_key
 from orgkin.refdata import DEFAULT_SOURCE, SYNTHETIC_PREFIX
 
 ENTITY_UPDATES = (
@@ -35,17 +35,15 @@ def merge_snapshot(
     source: DataFrame,
     key: str,
     update: Sequence[str],
-    small_source: bool | None = None,
+    small_source: bool = False,
 ) -> DataFrame:
     """Target with ``source`` merged in; both sides have unique keys.
 
     A matched row takes only the ``update`` columns; an unmatched source row is
-    inserted whole. A source whose planned size is small is broadcast, so the target
-    is scanned but never shuffled; otherwise one full outer join merges both sides.
+    inserted whole. One full outer join merges both sides. A caller who knows that the
+    source has a fixed small size may say so: it is then broadcast, and the target is
+    scanned but never shuffled.
     """
-    if small_source is None:
-        size = planned_bytes(source)
-        small_source = size is not None and size <= SMALL_BYTES
     cols = target.columns
     s = source.select(
         F.col(key), F.lit(True).alias("_new"),
@@ -76,19 +74,25 @@ def fold_source(source: DataFrame, key: str, update: Sequence[str], order: str)
 
     The first row of a key is the insert; later ones only overwrite ``update`` columns.
     """
-    late = [F.col(c).alias(f"_u_{c}") for c in update]
-    first = first_per_key(source, [key], F.asc_nulls_last(order))
-    last = first_per_key(source.select(key, order, *late), [key], F.desc_nulls_last(order))
-    joined = first.drop(order).join(last.drop(order), key)
-    return joined.select(
-        *[F.col(f"_u_{c}").alias(c) if c in update else F.col(c)
-          for c in source.columns if c != order]
+    columns = [c for c in source.columns if c != order]
+    # A null order is neither first nor last; rows of equal order go by their content.
+    content = [F.col(c) for c in columns]
+    place = F.col(order)
+    first = F.min_by(F.struct(*columns), F.struct(place.isNull(), place, *content))
+    last = F.max_by(F.struct(*update), F.struct(place.isNotNull(), place, *content))
+    folded = source.groupBy(F.col(key).alias("_key")).agg(first.alias("_first"), last.alias("_last"))
+    return folded.select(
+        *[F.col(f"_{'last' if c in update else 'first'}.{c}").alias(c) for c in columns]
     )
 
 
-def entity_rows(entities: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Clean entities in the stored layout; null and synthetic keys are skipped."""
-    rows = schemas.conform(entities, schemas.ENTITIES).filter(real_key())
+def entity_rows(entities: DataFrame, as_of: dt.datetime, *extra: str) -> DataFrame:
+    """Clean entities in the stored layout; null and synthetic keys are skipped.
+
+    ``extra`` names further columns to carry along.
+    """
+    carried = entities.select("*", *[F.col(c).alias(f"_x_{c}") for c in extra])
+    rows = schemas.conform(carried, schemas.ENTITIES, keep_extra=bool(extra)).filter(real_key())
     now = F.lit(as_of).cast("timestamp_ntz")
     return rows.select(
         F.col("lei").alias("id"), "lei",
@@ -100,18 +104,35 @@ def entity_rows(entities: DataFrame, as_of: dt.datetime) -> DataFrame:
         "managing_lou",
         F.coalesce("source", F.lit(DEFAULT_SOURCE)).alias("source"),
         now.alias("created_at"), now.alias("updated_at"),
+        *[F.col(f"_x_{c}").alias(c) for c in extra],
     )
 
 
 def upsert_entities(stored: DataFrame, entities: DataFrame, as_of: dt.datetime,
-                    small_source: bool | None = None) -> DataFrame:
-    """Next entity snapshot: names, statuses and addresses follow the newest load."""
-    return merge_snapshot(
-        stored, entity_rows(entities, as_of), "lei", ENTITY_UPDATES, small_source
-    )
+                    small_source: bool = False) -> DataFrame:
+    """Next entity snapshot: names, statuses and addresses follow the newest load.
+
+    Rows that repeat a key are folded as if stored one by one, in the order of
+    ``ingest_ord`` where the load has it, else of their content.
+    """
+    if "ingest_ord" in entities.columns:
+        rows = entity_rows(entities, as_of, "ingest_ord")
+    else:
+        rows = entity_rows(entities, as_of).withColumn("ingest_ord", F.lit(0))
+    rows = fold_source(rows, "lei", ENTITY_UPDATES, "ingest_ord")
+    return merge_snapshot(stored, rows, "lei", ENTITY_UPDATES, small_source)
 
 
 def new_rows(stored: DataFrame, incoming: DataFrame, key: str = "id") -> DataFrame:
-    """Incoming rows whose key is not stored yet, one per key: append these."""
-    once = incoming.dropDuplicates([key])
+    """Incoming rows whose key is not stored yet, one per key: append these.
+
+    Of rows that share a key the earliest stays, then the best scored, then the first
+    by the columns that can be ordered.
+    """
+    types = dict(incoming.dtypes)
+    rest = [c for c in sorted(types) if c not in (key, "created_at", "final_score")
+            and not types[c].startswith(("map", "variant"))]
+    order = [F.asc_nulls_last("created_at")] if "created_at" in types else []
+    order += [F.desc_nulls_last("final_score")] if "final_score" in types else []
+    once = first_per_key(incoming, [key], *order, *[F.asc_nulls_last(c) for c in rest], F.asc(key))
     return once.join(stored.select(key), key, "left_anti").select(*incoming.columns)

@@ -47,9 +47,9 @@ def run_daily(
     """
     run = Run(folder)
 
-    def stage(name: str, df: DataFrame) -> DataFrame:
+    def stage(name: str, df: DataFrame, blanks: bool = False) -> DataFrame:
         watched, seen = tables.counted(df, name)
-        back = tables.write_stage(watched, run.path(name))
+        back = tables.write_stage(watched, run.path(name), blanks=blanks)
         run.rows[name] = seen.get["rows"]
         return back
 
@@ -61,7 +61,7 @@ def run_daily(
     dup = stage("clean_duplicates", clean_entities(resolve.labelled_duplicates(raw, duplicates)))
 
     started = time.time()
-    metrics = quality.quality_metrics(clean, as_of, started)
+    metrics = quality.timed(quality.quality_metrics(clean, as_of), started)
     tables.write_quality_report(metrics, run.path("quality_reports"), run_id)
     tables.quality_run_row(metrics).write.mode("append").parquet(run.path("quality_runs"))
 
@@ -71,13 +71,13 @@ def run_daily(
 
     snapshot = merge.entity_rows(clean, as_of)
     stage("entities", merge.upsert_entities(
-        stored("entities", snapshot.limit(0)), clean, as_of))
+        stored("entities", snapshot.limit(0)), clean, as_of), blanks=True)
     old = stored("match_table", found.limit(0))
     stage("match_table", old.unionByName(merge.new_rows(old, found)))
 
     points = vectors.index_rows(clean, embedded)
     stage("vector_index", vectors.upsert_index(
-        stored("vector_index", points.limit(0)), clean, embedded))
+        stored("vector_index", points.limit(0)), clean, embedded), blanks=True)
 
     nodes = stage("nodes", graph.entity_nodes(clean))
     edges = graph.entity_edges(clean).unionByName(graph.match_edges(found, nodes))

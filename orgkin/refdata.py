@@ -154,6 +154,11 @@ COUNTRY_ALIASES = {
     "HOLLAND": "NL", "CZECH REPUBLIC": "CZ", "TURKIYE": "TR", "IVORY COAST": "CI",
     "VIET NAM": "VN", "HONG KONG": "HK", "MACAO": "MO", "MACAU": "MO", "BURMA": "MM",
     "MYANMAR": "MM", "SWAZILAND": "SZ", "CABO VERDE": "CV", "HOLY SEE": "VA",
+    "BRUNEI DARUSSALAM": "BN", "SLOVAK REPUBLIC": "SK", "REPUBLIC OF IRELAND": "IE",
+    "PALESTINE": "PS", "STATE OF PALESTINE": "PS", "SYRIAN ARAB REPUBLIC": "SY",
+    "LAO PEOPLES DEMOCRATIC REPUBLIC": "LA", "DEMOCRATIC PEOPLES REPUBLIC OF KOREA": "KP",
+    "DEMOCRATIC REPUBLIC OF THE CONGO": "CD", "REPUBLIC OF THE CONGO": "CG",
+    "FEDERATED STATES OF MICRONESIA": "FM", "ISLAMIC REPUBLIC OF IRAN": "IR",
 }
 
 

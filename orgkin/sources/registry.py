@@ -10,9 +10,15 @@ from orgkin import schemas
 from orgkin.operators.keyed import exact_sample
 
 
-def scan_registry_csv(spark: SparkSession, path: str) -> DataFrame:
-    """All columns of a landed extract (plain or gz) as strings, named by its header."""
-    return spark.read.csv(path, header=True, quote='"', escape='"', enforceSchema=False)
+def scan_registry_csv(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
+    """All columns of a landed extract (plain or gz) as strings, named by its header.
+
+    A quoted field may hold line breaks. Such files are read whole, one task each; say
+    ``line_breaks=False`` for large plain files without them, which are then split.
+    """
+    return spark.read.csv(
+        path, header=True, quote='"', escape='"', enforceSchema=False, multiLine=line_breaks
+    )
 
 
 def map_registry_columns(df: DataFrame) -> DataFrame:
@@ -24,10 +30,11 @@ def map_registry_columns(df: DataFrame) -> DataFrame:
 
 
 def read_registry(
-    spark: SparkSession, path: str, n: int | None = None, seed: int = R.REGISTRY_SEED
+    spark: SparkSession, path: str, n: int | None = None, seed: int = R.REGISTRY_SEED,
+    line_breaks: bool = True,
 ) -> DataFrame:
     """Mapped extract in the canonical schema, all rows unless a sample of ``n`` is asked for."""
-    rows = schemas.conform(map_registry_columns(scan_registry_csv(spark, path)), schemas.REGISTRY)
+    rows = schemas.conform(map_registry_columns(scan_registry_csv(spark, path, line_breaks)), schemas.REGISTRY)
     if n is None:
         return rows
     return exact_sample(rows, n, seed, ["lei", *[c for c in rows.columns if c != "lei"]])

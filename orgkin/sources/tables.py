@@ -31,9 +31,12 @@ def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def write_stage(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
-    """Write a stage with blanks as null and read it back: the hand-off, and the lineage cut."""
-    writer = stage_boundary(df).write.mode("overwrite")
+def write_stage(df: DataFrame, path: str, *partition_by: str, blanks: bool = False) -> DataFrame:
+    """Write a stage with blanks as null and read it back: the hand-off, and the lineage cut.
+
+    ``blanks`` keeps blank text, for stored tables whose defaults are blank.
+    """
+    writer = (df if blanks else stage_boundary(df)).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

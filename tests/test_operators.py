@@ -73,10 +73,10 @@ def test_keyed_join_salts_hot_keys(spark, plan, tmp_path):
     one = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(30)], "k string, v int")
     for how in ("inner", "left", "left_semi"):
         plain = many.join(one, "k", how)
-        salted = keyed.keyed_join(many, one, "k", how, salt_above=0, hot_rows=500)
+        salted = keyed.keyed_join(many, one, "k", how, salted=True, hot_rows=500)
         assert salted.columns == plain.columns
         assert sorted(map(repr, salted.collect())) == sorted(map(repr, plain.collect()))
-    assert "AS _salt" in plan(keyed.keyed_join(many, one, "k", salt_above=0, hot_rows=500))
+    assert "AS _salt" in plan(keyed.keyed_join(many, one, "k", salted=True, hot_rows=500))
     assert "AS _salt" not in plan(keyed.keyed_join(many, one, "k"))
     hot = keyed.hot_keys(many, "k", 500).collect()
     assert [r.k for r in hot] == ["hot"]
@@ -163,7 +163,7 @@ def test_small_upsert_does_not_shuffle_the_target(spark, plan, tmp_path):
     old = spark.read.parquet(str(tmp_path / "t"))
     spark.createDataFrame([("2", "q")], "k string, a string").write.parquet(str(tmp_path / "n"))
     new = spark.read.parquet(str(tmp_path / "n"))
-    text = plan(merge.merge_snapshot(old, new, "k", ["a"]))
+    text = plan(merge.merge_snapshot(old, new, "k", ["a"], small_source=True))
     assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
 
 
@@ -445,3 +445,56 @@ def test_search_text_with_a_backslash(spark):
 
     rows = spark.createDataFrame([("a\\b",), ("ab",)], "n string")
     assert [r.n for r in rows.filter(rows.n.ilike(_contains("a\\b"))).collect()] == ["a\\b"]
+
+
+def test_upsert_folds_repeated_keys(spark):
+    load = spark.createDataFrame(
+        [("A", "first", 1, "US"), ("B", "b1", 2, "DE"), ("A", "last", 3, "FR"), ("B", "b2", 4, "DE")],
+        "lei string, legal_name string, ingest_ord int, country string")
+    stored = merge.entity_rows(load, AS_OF).limit(0)
+    got = merge.upsert_entities(stored, load, AS_OF).select("lei", "legal_name", "country").collect()
+    assert sorted(map(tuple, got)) == [("A", "last", "US"), ("B", "b2", "DE")]
+
+
+def test_new_rows_keep_the_earliest(spark):
+    rows = [("1", "2024-02-01", 0.9), ("1", "2024-01-01", 0.5), ("1", "2024-01-01", 0.7)]
+    incoming = spark.createDataFrame(rows, "id string, created_at string, final_score double")
+    stored = spark.createDataFrame([], "id string")
+    for order in (incoming, incoming.orderBy("final_score")):
+        assert [tuple(r) for r in merge.new_rows(stored, order).collect()] == [rows[2]]
+
+
+def test_elapsed_covers_the_work(spark):
+    import time
+
+    started = time.time() - 5
+    row = quality.timed(quality.quality_metrics(spark.range(3), AS_OF), started).collect()[0]
+    assert 5 <= row.pipeline_runtime_seconds < 120 and row.total_records == 3
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    from orgkin.sources import registry
+
+    file = tmp_path / "extract.csv"
+    file.write_text('LEI,Entity.LegalName\nL1,"Acme\nHolding"\nL2,Other\n')
+    rows = registry.scan_registry_csv(spark, str(file)).collect()
+    assert [tuple(r) for r in rows] == [("L1", "Acme\nHolding"), ("L2", "Other")]
+
+
+def test_report_pages_agree(spark):
+    from orgkin.operators import reports
+
+    entities = spark.createDataFrame([("A", "Acme"), ("B", "Other")], "lei string, legal_name string")
+    links = spark.range(200).selectExpr(
+        "'A' AS key", "'OWNS' AS rel_type", "concat('T', id) AS target_label", "'' AS target_lei")
+    issues = spark.createDataFrame([("A", "address is missing")], "lei string, issue string")
+    lines = reports.report_lines(relationships=links, quality=issues)
+    pages = reports.verification_reports(merge.entity_rows(entities, AS_OF).withColumn(
+        "legal_address", F.from_json(F.lit("{}"), "line1 string, city string, postal string")
+    ), lines, AS_OF, page_lines=50).collect()
+    text = [p.report_text for p in pages if p.lei == "A"]
+    assert len(text) > 1 and sum(t.count("- OWNS") for t in text) == 200
+    assert sum("address is missing" in t for t in text) == 1
+    denied = [t for t in text if "Data quality\nNone" in t]
+    assert not denied and all("Watchlist hits\nNone identified" in t for t in text)
+    assert [p.report_text.count("None identified") for p in pages if p.lei == "B"] == [4]

@@ -109,3 +109,19 @@ def test_title_case_agrees_with_python(spark):
 def test_blank_to_null(spark):
     assert values(spark, [" ", "", None, " a "], X.blank_to_null("x")) == [None, None, None, "a"]
     assert values(spark, ["a"], F.lit("x")) == ["x"]
+
+
+def test_country_names_of_the_standard(spark):
+    from orgkin.functions.country import normalize_country
+
+    expected = {
+        "Moldova, Republic of": "MD", "Congo, The Democratic Republic of the": "CD",
+        "Brunei Darussalam": "BN", "Slovak Republic": "SK", "The Netherlands": "NL",
+        "Republic of Ireland": "IE", "Tanzania, United Republic of": "TZ",
+        "Taiwan, Province of China": "TW", "Palestine, State of": "PS", "Côte d'Ivoire": "CI",
+        "Côte d’Ivoire": "CI", "Korea, Republic of": "KR", "Iran, Islamic Republic of": "IR",
+        "Virgin Islands, British": "VG", "Germany": "DE", "DEU": "DE", "": "",
+    }
+    rows = spark.createDataFrame([(n,) for n in expected], "n string")
+    got = {r.n: r.c for r in rows.select("n", normalize_country("n").alias("c")).collect()}
+    assert got == expected
