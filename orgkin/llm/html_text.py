@@ -1,14 +1,19 @@
 """Main text of web pages.
 
 A page is read into blocks. What the markup marks as menu, header, footer, sidebar, notice,
-advert, form, comment or code is chrome; an article or main element is content. The token
-streams outside the content are concatenated for each host and a suffix array finds the
-substrings of LEAST tokens and more that several distinct pages share: those are
-boilerplate. On a page that marks no content, the blocks that are neither chrome nor covered
-by boilerplate are the text.
-
-The pages of a large host are dealt over several arrays; what only pages of different arrays
-share is found by the fingerprints of the windows, so a host of any size is searched whole.
+advert, form, comment or code is chrome. All other blocks of a page, content or not, are its
+stream, and suffix arrays over the streams of each host find the substrings of LEAST tokens
+and more that several pages share. These decide on every page what goes:
+
+* Pages with the same stream are copies and count as one.
+* What recurs on MOST pages of the host (three at least) is boilerplate wherever it stands.
+  What recurs on fewer is boilerplate only on a page without marked content.
+
+A page is marked if article or main elements hold more than half of its stream; then the
+blocks outside them are left out.
+
+The pages of a large host are dealt over several arrays, whose counts meet by the
+fingerprints of the windows, so a host of any size is searched whole.
 """
 
 from __future__ import annotations
@@ -19,12 +24,14 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orgkin.llm.common import documents, runs_of, written
+from orgkin.llm.common import documents, written
 
 LEAST = 10  # tokens of a shared substring
+MOST = 0.5  # of the pages of a host: a substring on so many is boilerplate everywhere
 ARRAY_TOKENS = 500_000  # tokens of one suffix array
 
 # --- Fixed values: element names and words in class, id and role by what they mean ------
@@ -132,18 +139,17 @@ def blocks(page: str) -> list[tuple[str, str]]:
     return out
 
 
-def shared_windows(tokens: np.ndarray, page: np.ndarray) -> np.ndarray:
-    """Marks the tokens covered by a substring of LEAST tokens or more that occurs on two
-    distinct pages. ``page``: the page of each token.
+def shared_windows(tokens: np.ndarray, page: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The suffix array, the window (of LEAST tokens) that each suffix begins with, and the
+    number of distinct pages of each window. ``page``: the page of each token.
 
     Suffixes are ranked by their first 1, 2, 4, ... tokens up to LEAST: a suffix array as
     deep as it matters. Suffixes of one rank share that many tokens, and one beyond the end
     of its page is not ranked with others.
     """
     n = len(tokens)
-    covered = np.zeros(n + 1, np.int64)
     if n < LEAST:
-        return covered[:n].astype(bool)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64) + 1
     width = 1
     while width < LEAST:
@@ -152,88 +158,198 @@ def shared_windows(tokens: np.ndarray, page: np.ndarray) -> np.ndarray:
         after[: n - step] = rank[step:]
         rank = np.unique(rank * (rank.max() + 1) + after, return_inverse=True)[1].astype(np.int64) + 1
         width += step
-    inside = np.zeros(n, bool)
-    inside[: n - LEAST + 1] = page[: n - LEAST + 1] == page[LEAST - 1:]
-    at = np.flatnonzero(inside)
-    array = at[np.lexsort((page[at], rank[at]))]  # the suffix array, equal ones by page
+    at = np.flatnonzero(page[: n - LEAST + 1] == page[LEAST - 1:])
+    array = at[np.lexsort((page[at], rank[at]))]  # equal ones by page
     r, p = rank[array], page[array]
-    starts = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]])) if len(r) else np.zeros(0, int)
-    ends = np.concatenate([starts[1:], [len(r)]]) if len(r) else starts
-    several = p[starts] != p[ends - 1] if len(r) else np.zeros(0, bool)
-    hit = array[np.repeat(several, ends - starts)]
-    np.add.at(covered, hit, 1)
-    np.add.at(covered, hit + LEAST, -1)
-    return np.cumsum(covered[:n]) > 0
+    new = np.concatenate([[True], r[1:] != r[:-1]])[: len(r)]
+    window = np.cumsum(new) - 1
+    other = new | np.concatenate([[True], p[1:] != p[:-1]])[: len(p)]
+    return array, window, np.bincount(window, other).astype(np.int64)
+
 
+def _fingerprints(tokens: np.ndarray, array: np.ndarray, window: np.ndarray) -> np.ndarray:
+    """One number for each window, the same in all arrays."""
+    first = array[np.flatnonzero(np.diff(window, prepend=-1))]
+    total = np.zeros(len(first), np.uint64)
+    for j in range(LEAST):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + tokens[first + j]
+    return total ^ (total >> np.uint64(32))
 
-PARSED = "key long, page_id long, url string, host string, main string, marked boolean, kinds array<string>, texts array<string>"
+
+def _covered(n: int, starts: np.ndarray) -> np.ndarray:
+    change = np.bincount(starts, minlength=n + 1) - np.bincount(starts + LEAST, minlength=n + 1)[: n + 1]
+    return np.cumsum(change[:n]) > 0
+
+
+PARSED = "page_id long, url string, host string, copy long, marked boolean, kinds array<string>, texts array<string>"
 
 
 def _parsed(batches):
     for batch in batches:
-        main, marked, kinds, texts = [], [], [], []
+        copy, marked, kinds, texts = [], [], [], []
         for page in batch.column("html"):
-            found = blocks(page.as_py() or "")
-            content = [t for k, t in found if k == "content"]
-            main.append("\n\n".join(content))
-            marked.append(bool(content))
-            rest = [(k, t) for k, t in found if k != "content"]
-            kinds.append([k for k, _ in rest])
-            texts.append([t for _, t in rest])
+            found = [(k, t) for k, t in blocks(page.as_py() or "") if k != "chrome"]
+            size = {"content": 0, "other": 0}
+            for k, t in found:
+                size[k] += len(t.split())
+            copy.append(xxhash.xxh3_64_intdigest(" ".join(t for _, t in found)) - (1 << 63))
+            marked.append(size["content"] > size["other"])
+            kinds.append([k for k, _ in found])
+            texts.append([t for _, t in found])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("key"), batch.column("page_id"), batch.column("url"), batch.column("host"),
-             pa.array(main, pa.string()), pa.array(marked), pa.array(kinds, pa.list_(pa.string())),
-             pa.array(texts, pa.list_(pa.string()))],
-            ["key", "page_id", "url", "host", "main", "marked", "kinds", "texts"],
+            [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(copy, pa.int64()),
+             pa.array(marked, pa.bool_()), pa.array(kinds, pa.list_(pa.string())), pa.array(texts, pa.list_(pa.string()))],
+            ["page_id", "url", "host", "copy", "marked", "kinds", "texts"],
         )
 
 
-def _searched(batches):
-    """Covered tokens of each page of one array, and its windows if the host has several."""
-    for group in runs_of(batches, "host", "part"):
-        keys = group.column("key").to_numpy()
-        streams = [[w for t in texts.as_py() for w in t.split()] for texts in group.column("texts")]
-        lengths = np.array([len(s) for s in streams])
-        flat = [w for s in streams for w in s]
-        if not flat:
-            continue
-
-        tokens = pd.util.hash_array(np.array(flat, dtype=object), categorize=False)
-        covered = shared_windows(tokens, np.repeat(keys, lengths))
-        split = group.column("parts")[0].as_py() > 1
-        ends = np.cumsum(lengths)
-        out, windows = [], []
-        for e, k in zip(ends, lengths, strict=True):
-            out.append(np.flatnonzero(covered[e - k: e]).astype(np.int32))
-            own = tokens[e - k: e]
-            count = max(0, k - LEAST + 1) if split else 0
-            total = np.zeros(count, np.uint64)
-            for j in range(LEAST if count else 0):
-                total = total * np.uint64(0x9E3779B97F4A7C15) + own[j: j + count]
-            windows.append(total.view(np.int64))
+def _streams(batches):
+    """Hashed tokens of each page, and the number of tokens of each block. A task gives each
+    page with copies once."""
+    seen = set()
+    for batch in batches:
+        streams, sizes = [], []
+        names = list(zip(batch.column("host").to_pylist(), batch.column("copy").to_pylist(), strict=True))
+        new = [i for i, name in enumerate(names) if name not in seen and not seen.add(name)]
+        batch = batch.take(pa.array(new, pa.int64()))
+        for texts in batch.column("texts").to_pylist():
+            words = [t.split() for t in texts]
+            flat = [w for block in words for w in block]
+            streams.append(pd.util.hash_array(np.array(flat, dtype=object), categorize=False).tobytes() if flat else b"")
+            sizes.append([len(block) for block in words])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys), pa.array([group.column("host")[0].as_py()] * len(keys), pa.string()),
-             pa.array(out, pa.list_(pa.int32())), pa.array(windows, pa.list_(pa.int64()))],
-            ["key", "host", "covered", "windows"],
+            [batch.column("host"), batch.column("copy"), pa.array(streams, pa.binary()), pa.array(sizes, pa.list_(pa.int32()))],
+            ["host", "copy", "stream", "sizes"],
         )
 
 
+COUNTS = "host string, part long, bucket long, pages long, windows binary, counts binary"
+SHARED = "host string, part long, pages long, windows binary, counts binary"
+_COUNTS = pa.schema([("host", pa.string()), ("part", pa.int64()), ("bucket", pa.int64()), ("pages", pa.int64()),
+                     ("windows", pa.binary()), ("counts", pa.binary())])
+_SHARED = _COUNTS.remove(2)
+_LEVELS = pa.schema([("host", pa.string()), ("copy", pa.int64()), ("levels", pa.binary())])
+
+
+def _tokens(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of the pages of an array and the page of each."""
+    streams = [np.frombuffer(s, np.uint64) for s in group.column("stream").to_pylist()]
+    return np.concatenate(streams), np.repeat(np.arange(len(streams)), [len(s) for s in streams])
+
+
+def _bucketed(group: pa.Table, prints: np.ndarray, counts: np.ndarray, pages: int) -> pa.Table:
+    """The windows of an array with their pages, dealt over as many buckets as the host has arrays."""
+    host, part, parts = (group.column(c)[0].as_py() for c in ("host", "part", "parts"))
+    bucket = (prints % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(parts + 1))
+    picks = [order[a:b] for a, b in zip(ends, ends[1:])]
+    return pa.table(
+        [[host] * parts, [part] * parts, list(range(parts)), [pages] * parts,
+         [prints[i].tobytes() for i in picks], [counts[i].astype(np.uint32).tobytes() for i in picks]], schema=_COUNTS,
+    )
+
+
+def _first_counts(group: pa.Table) -> pa.Table:
+    tokens, page = _tokens(group)
+    array, window, counts = shared_windows(tokens, page)
+    return _bucketed(group, _fingerprints(tokens, array, window), counts, group.num_rows)
+
+
+def _met(group: pa.Table) -> pa.Table:
+    """What the arrays of a host count together; each gets back its windows of several pages."""
+    windows = [np.frombuffer(x, np.uint64) for x in group.column("windows").to_pylist()]
+    counts = [np.frombuffer(x, np.uint32) for x in group.column("counts").to_pylist()]
+    place = np.unique(np.concatenate(windows), return_inverse=True)[1]
+    total = np.bincount(place, np.concatenate(counts)).astype(np.uint32)[place]
+    out_windows, out_counts, at = [], [], 0
+    for w in windows:
+        own = total[at: at + len(w)]
+        at += len(w)
+        out_windows.append(w[own > 1].tobytes())
+        out_counts.append(own[own > 1].tobytes())
+    pages = sum(group.column("pages").to_pylist())
+    return pa.table(
+        [group.column("host"), group.column("part"), [pages] * len(windows), out_windows, out_counts], schema=_SHARED
+    )
+
+
+def _supported(tokens: np.ndarray, page: np.ndarray, shared: pa.Table):
+    """The suffix array, the window of each suffix, the fingerprint of each window, and the
+    pages of the whole host that have it."""
+    array, window, _ = shared_windows(tokens, page)
+    prints = _fingerprints(tokens, array, window)
+    known = np.frombuffer(b"".join(shared.column("windows").to_pylist()), np.uint64)
+    counts = np.frombuffer(b"".join(shared.column("counts").to_pylist()), np.uint32)
+    order = np.argsort(known)
+    known, counts = known[order], counts[order]
+    if not len(known):
+        return array, window, prints, np.zeros(len(prints), np.int64)
+    at = np.minimum(np.searchsorted(known, prints), len(known) - 1)
+    return array, window, prints, np.where(known[at] == prints, counts[at], 0).astype(np.int64)
+
+
+def _second_counts(group: pa.Table, shared: pa.Table) -> pa.Table:
+    """The shared windows again, with only those of their pages that have text of their own."""
+    if not group.num_rows:
+        return _COUNTS.empty_table()
+    tokens, page = _tokens(group)
+    array, window, prints, support = _supported(tokens, page, shared)
+    free = ~_covered(len(tokens), array[support[window] > 1])
+    sizes = group.column("sizes").to_pylist()
+    of_page = np.repeat(np.arange(len(sizes)), [len(s) for s in sizes])
+    size = np.array([n for s in sizes for n in s], np.int64)
+    left = np.bincount(np.repeat(np.arange(len(size)), size), free, len(size))
+    own = np.bincount(of_page, np.where(2 * left >= size, size, 0), len(sizes))
+    whole = np.bincount(of_page, size, len(sizes))
+    witness = (own >= 0) & (whole > 0)
+    p = page[array]
+    first = np.concatenate([[True], (window[1:] != window[:-1]) | (p[1:] != p[:-1])])[: len(p)]
+    counts = np.bincount(window, first & witness[p], len(prints))
+    return _bucketed(group, prints[support > 1], counts[support > 1], int(witness.sum()))
+
+
+def _levels(group: pa.Table, shared: pa.Table) -> pa.Table:
+    """For each token of a page 0, 1 if several pages share it, 2 if most do."""
+    if not group.num_rows:
+        return _LEVELS.empty_table()
+    tokens, page = _tokens(group)
+    array, window, _, support = _supported(tokens, page, shared)
+    support = support[window]
+    pages = max(shared.column("pages").to_pylist(), default=0)
+    level = _covered(len(tokens), array[support > 1]).astype(np.uint8)
+    level += _covered(len(tokens), array[support >= max(3, MOST * pages)])
+    ends = np.searchsorted(page, np.arange(group.num_rows + 1))
+    return pa.table(
+        [group.column("host"), group.column("copy"), [level[a:b].tobytes() for a, b in zip(ends, ends[1:])]],
+        schema=_LEVELS,
+    )
+
+
+def _kept(words: list[str], level: np.ndarray, marked: bool) -> list[str]:
+    """The words of a block less its boilerplate."""
+    gone = level > 1
+    if not marked and level.any():
+        edges = np.flatnonzero(np.diff(level > 0, prepend=False, append=False))
+        for a, b in zip(edges[::2], edges[1::2]):
+            gone[a:b] = True
+    return [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
+
+
 def _unique_runs(batches):
-    """Text of pages without marked content: blocks that are no chrome, less what is covered."""
+    """The blocks of each page less what is boilerplate there."""
     for batch in batches:
         out = []
-        for kinds, texts, covered in zip(
-            batch.column("kinds").to_pylist(), batch.column("texts").to_pylist(),
-            batch.column("covered").to_pylist(), strict=True,
+        for marked, kinds, texts, levels in zip(
+            *(batch.column(c).to_pylist() for c in ("marked", "kinds", "texts", "levels")), strict=True
         ):
-            gone, at, kept = set(covered or ()), 0, []
+            level, at, kept = np.frombuffer(levels or b"", np.uint8), 0, []
             for kind, text in zip(kinds, texts, strict=True):
                 words = text.split()
-                left = [w for i, w in enumerate(words, at) if i not in gone]
+                if kind == "content" or not marked:
+                    kept.append(_kept(words, level[at: at + len(words)], marked))
                 at += len(words)
-                if kind == "other" and left:
-                    kept.append(" ".join(left))
-            out.append("\n\n".join(kept))
+            out.append("\n\n".join(" ".join(words) for words in kept if words))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"]
         )
@@ -242,39 +358,36 @@ def _unique_runs(batches):
 def extracted(pages: DataFrame) -> DataFrame:
     """One row per input row: ``page_id, url, text, n_chars``.
 
-    Null and empty pages have an empty text. Ids and urls may be null or repeat; equal rows
-    are one page and share no boilerplate with themselves; a null url is a host of its own.
-    Other columns are ignored; an empty table gives no rows.
+    Null and empty pages have an empty text. Ids and urls may be null or repeat; pages of a
+    host with the same stream are one page and share no boilerplate with themselves; pages
+    with a null url are a host of their own. Other columns are ignored; an empty table gives
+    no rows.
     """
     rows = pages.select(
-        F.xxhash64("page_id", "url", "html").alias("key"), F.col("page_id").cast("long").alias("page_id"), "url",
+        F.col("page_id").cast("long").alias("page_id"), "url",
         F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)", 1)).alias("host"),
         "html",
     )
     parsed = written(rows.mapInArrow(_parsed, PARSED), "html-parsed")
     size = F.aggregate("texts", F.lit(0), lambda a, t: a + F.size(F.split(t, " ")))
-    streams = parsed.select("key", "host", "texts", size.alias("tokens"))
-    parts = streams.groupBy("host").agg(F.ceil(F.sum("tokens") / ARRAY_TOKENS).alias("parts")).filter("parts > 0")
-    dealt = streams.join(parts, "host").withColumn("part", F.pmod(F.col("key"), F.col("parts")))
-    found = dealt.select("host", "part", "parts", "key", "texts").repartition("host", "part").sortWithinPartitions(
-        "host", "part"
-    ).mapInArrow(_searched, "key long, host string, covered array<int>, windows array<long>")
-    found = written(found, "html-covered")
-    windows = found.select("host", "key", F.posexplode("windows").alias("at", "window"))
-    far = windows.groupBy("host", "window").agg(F.min("key").alias("l"), F.max("key").alias("h")).filter("l < h")
-    across = windows.join(far.select("host", "window"), ["host", "window"]).groupBy("key").agg(
-        F.flatten(F.collect_list(F.sequence("at", F.col("at") + LEAST - 1))).alias("across")
-    )
-    bare = parsed.filter("not marked")
-    cover = (
-        found.select("key", "covered").dropDuplicates(["key"])
-        .join(bare.select("key").distinct(), "key", "left_semi").join(across, "key", "left")
-        .select("key", F.concat("covered", F.coalesce("across", F.array().cast("array<int>"))).alias("covered"))
+    parts = parsed.filter(F.size("texts") > 0).groupBy("host").agg(F.ceil(F.sum(size) / ARRAY_TOKENS).alias("parts"))
+    streams = (
+        parsed.filter(F.size("texts") > 0).select("host", "copy", "texts")
+        .mapInArrow(_streams, "host string, copy long, stream binary, sizes array<int>")
+        .join(parts, "host").withColumn("part", F.pmod("copy", "parts"))
+        .repartition("host", "part").dropDuplicates(["host", "part", "copy"])
     )
-    rest = bare.join(cover, "key", "left").select("page_id", "url", "kinds", "texts", "covered").mapInArrow(
-        _unique_runs, "page_id long, url string, text string"
-    )
-    text = parsed.filter("marked").select("page_id", "url", F.col("main").alias("text")).unionByName(rest)
+    arrays = streams.groupBy("host", "part")
+
+    def met(counts):
+        return written(counts.groupBy("host", "bucket").applyInArrow(_met, SHARED), "html-shared").groupBy("host", "part")
+
+    shared = met(arrays.applyInArrow(_first_counts, COUNTS))
+    shared = met(arrays.cogroup(shared).applyInArrow(_second_counts, COUNTS))
+    levels = arrays.cogroup(shared).applyInArrow(_levels, "host string, copy long, levels binary")
+    text = parsed.join(levels, ["host", "copy"], "left").select(
+        "page_id", "url", "marked", "kinds", "texts", "levels"
+    ).mapInArrow(_unique_runs, "page_id long, url string, text string")
     return text.withColumn("n_chars", F.length("text").cast("long"))
 
 

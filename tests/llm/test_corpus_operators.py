@@ -264,6 +264,17 @@ def test_html_arrays_of_one_host_see_each_other(spark, monkeypatch):
     assert {r.page_id: r.text for r in html_text.extracted(table).collect()} == {i: f"own{i} text{i}" for i in range(6)}
 
 
+def test_html_spans_decide_on_marked_pages_too(spark):
+    """Boilerplate inside the article goes, and a small article does not hide the page's text."""
+    offer = " ".join(f"offer{i}" for i in range(12))
+    pages = [(i, f"http://h/{i}", f"<article><p>{' '.join(f'own{i}x{j}' for j in range(30))}</p><p>{offer}</p></article>")
+             for i in range(4)]
+    pages.append((9, "http://g/9", f"<body><article>Teaser</article><div>{offer} and more</div></body>"))
+    found = {r.page_id: r.text for r in html_text.extracted(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(found[i] == " ".join(f"own{i}x{j}" for j in range(30)) for i in range(4))
+    assert found[9] == f"Teaser\n\n{offer} and more"
+
+
 def test_posting_lists(spark):
     vectors = spark.read.parquet(f"{SMALL}/embeddings.parquet")
     rows = {r.vec_id: np.array(r.embedding, float) for r in vectors.collect()}
