@@ -6,8 +6,12 @@ stream, and suffix arrays over the streams of each host find the substrings of L
 and more that several pages share. These decide on every page what goes:
 
 * Pages with the same stream are copies and count as one.
-* What recurs on MOST pages of the host (three at least) is boilerplate wherever it stands.
-  What recurs on fewer is boilerplate only on a page without marked content.
+* A page counts as evidence only if it has text of its own beside what it shares: whole
+  blocks of LEAST tokens or a tenth of it. Copies with small edits vouch for nothing.
+* What recurs on MOST of such pages of the host (three at least) is boilerplate wherever it
+  stands. What recurs on fewer is boilerplate only on a page without marked content, and only
+  if it reaches an edge of its block: a quotation inside a paragraph stays.
+* No cut takes all the text of a page, or more than half of its marked content.
 
 A page is marked if article or main elements hold more than half of its stream; then the
 blocks outside them are left out.
@@ -20,6 +24,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -204,19 +209,15 @@ def _parsed(batches):
 
 
 def _streams(batches):
-    """Hashed tokens of each page, and the number of tokens of each block. A task gives each
-    page with copies once."""
+    """The packed tokens of each page, and the number of tokens of each block. A task gives
+    each page with copies once."""
     seen = set()
     for batch in batches:
-        streams, sizes = [], []
-        names = list(zip(batch.column("host").to_pylist(), batch.column("copy").to_pylist(), strict=True))
-        new = [i for i, name in enumerate(names) if name not in seen and not seen.add(name)]
-        batch = batch.take(pa.array(new, pa.int64()))
-        for texts in batch.column("texts").to_pylist():
-            words = [t.split() for t in texts]
-            flat = [w for block in words for w in block]
-            streams.append(pd.util.hash_array(np.array(flat, dtype=object), categorize=False).tobytes() if flat else b"")
-            sizes.append([len(block) for block in words])
+        names = zip(batch.column("host").to_pylist(), batch.column("copy").to_pylist(), strict=True)
+        batch = batch.take(pa.array([i for i, name in enumerate(names) if name not in seen and not seen.add(name)], pa.int64()))
+        words = [[t.split() for t in texts] for texts in batch.column("texts").to_pylist()]
+        streams = [zlib.compress(" ".join(w for block in page for w in block).encode(), 1) for page in words]
+        sizes = [[len(block) for block in page] for page in words]
         yield pa.RecordBatch.from_arrays(
             [batch.column("host"), batch.column("copy"), pa.array(streams, pa.binary()), pa.array(sizes, pa.list_(pa.int32()))],
             ["host", "copy", "stream", "sizes"],
@@ -231,43 +232,62 @@ _SHARED = _COUNTS.remove(2)
 _LEVELS = pa.schema([("host", pa.string()), ("copy", pa.int64()), ("levels", pa.binary())])
 
 
+def _distinct(group: pa.Table) -> pa.Table:
+    """The pages of an array, those that several tasks have read once."""
+    return group.take(pa.array(np.sort(np.unique(group.column("copy").to_numpy(), return_index=True)[1])))
+
+
 def _tokens(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens of the pages of an array and the page of each."""
-    streams = [np.frombuffer(s, np.uint64) for s in group.column("stream").to_pylist()]
-    return np.concatenate(streams), np.repeat(np.arange(len(streams)), [len(s) for s in streams])
+    """The hashed tokens of the pages of an array and the page of each."""
+    streams = [zlib.decompress(s).decode().split() for s in group.column("stream").to_pylist()]
+    flat = np.array([w for s in streams for w in s], dtype=object)
+    return pd.util.hash_array(flat, categorize=False), np.repeat(np.arange(len(streams)), [len(s) for s in streams])
+
+
+def _packed(values: np.ndarray) -> bytes:
+    return zlib.compress(np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1).T).view(np.uint64).reshape(-1)
 
 
 def _bucketed(group: pa.Table, prints: np.ndarray, counts: np.ndarray, pages: int) -> pa.Table:
     """The windows of an array with their pages, dealt over as many buckets as the host has arrays."""
     host, part, parts = (group.column(c)[0].as_py() for c in ("host", "part", "parts"))
     bucket = (prints % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((prints, bucket))
     ends = np.searchsorted(bucket[order], np.arange(parts + 1))
     picks = [order[a:b] for a, b in zip(ends, ends[1:])]
     return pa.table(
         [[host] * parts, [part] * parts, list(range(parts)), [pages] * parts,
-         [prints[i].tobytes() for i in picks], [counts[i].astype(np.uint32).tobytes() for i in picks]], schema=_COUNTS,
+         [_packed(np.diff(prints[i], prepend=np.uint64(0))) for i in picks], [_packed(counts[i]) for i in picks]],
+        schema=_COUNTS,
     )
 
 
 def _first_counts(group: pa.Table) -> pa.Table:
+    group = _distinct(group)
     tokens, page = _tokens(group)
     array, window, counts = shared_windows(tokens, page)
-    return _bucketed(group, _fingerprints(tokens, array, window), counts, group.num_rows)
+    prints = _fingerprints(tokens, array, window)
+    if group.column("parts")[0].as_py() == 1:  # no other array can share them
+        prints, counts = prints[counts > 1], counts[counts > 1]
+    return _bucketed(group, prints, counts, group.num_rows)
 
 
 def _met(group: pa.Table) -> pa.Table:
     """What the arrays of a host count together; each gets back its windows of several pages."""
-    windows = [np.frombuffer(x, np.uint64) for x in group.column("windows").to_pylist()]
-    counts = [np.frombuffer(x, np.uint32) for x in group.column("counts").to_pylist()]
+    windows = [np.cumsum(_unpacked(x), dtype=np.uint64) for x in group.column("windows").to_pylist()]
+    counts = [_unpacked(x) for x in group.column("counts").to_pylist()]
     place = np.unique(np.concatenate(windows), return_inverse=True)[1]
-    total = np.bincount(place, np.concatenate(counts)).astype(np.uint32)[place]
+    total = np.bincount(place, np.concatenate(counts)).astype(np.int64)[place]
     out_windows, out_counts, at = [], [], 0
     for w in windows:
         own = total[at: at + len(w)]
         at += len(w)
-        out_windows.append(w[own > 1].tobytes())
-        out_counts.append(own[own > 1].tobytes())
+        out_windows.append(_packed(np.diff(w[own > 1], prepend=np.uint64(0))))
+        out_counts.append(_packed(own[own > 1]))
     pages = sum(group.column("pages").to_pylist())
     return pa.table(
         [group.column("host"), group.column("part"), [pages] * len(windows), out_windows, out_counts], schema=_SHARED
@@ -279,8 +299,9 @@ def _supported(tokens: np.ndarray, page: np.ndarray, shared: pa.Table):
     pages of the whole host that have it."""
     array, window, _ = shared_windows(tokens, page)
     prints = _fingerprints(tokens, array, window)
-    known = np.frombuffer(b"".join(shared.column("windows").to_pylist()), np.uint64)
-    counts = np.frombuffer(b"".join(shared.column("counts").to_pylist()), np.uint32)
+    none = [np.zeros(0, np.uint64)]
+    known = np.concatenate(none + [np.cumsum(_unpacked(x), dtype=np.uint64) for x in shared.column("windows").to_pylist()])
+    counts = np.concatenate(none + [_unpacked(x) for x in shared.column("counts").to_pylist()])
     order = np.argsort(known)
     known, counts = known[order], counts[order]
     if not len(known):
@@ -293,6 +314,7 @@ def _second_counts(group: pa.Table, shared: pa.Table) -> pa.Table:
     """The shared windows again, with only those of their pages that have text of their own."""
     if not group.num_rows:
         return _COUNTS.empty_table()
+    group = _distinct(group)
     tokens, page = _tokens(group)
     array, window, prints, support = _supported(tokens, page, shared)
     free = ~_covered(len(tokens), array[support[window] > 1])
@@ -302,7 +324,7 @@ def _second_counts(group: pa.Table, shared: pa.Table) -> pa.Table:
     left = np.bincount(np.repeat(np.arange(len(size)), size), free, len(size))
     own = np.bincount(of_page, np.where(2 * left >= size, size, 0), len(sizes))
     whole = np.bincount(of_page, size, len(sizes))
-    witness = (own >= 0) & (whole > 0)
+    witness = (own > 0) & ((own >= LEAST) | (10 * own >= whole))
     p = page[array]
     first = np.concatenate([[True], (window[1:] != window[:-1]) | (p[1:] != p[:-1])])[: len(p)]
     counts = np.bincount(window, first & witness[p], len(prints))
@@ -310,9 +332,11 @@ def _second_counts(group: pa.Table, shared: pa.Table) -> pa.Table:
 
 
 def _levels(group: pa.Table, shared: pa.Table) -> pa.Table:
-    """For each token of a page 0, 1 if several pages share it, 2 if most do."""
+    """For each token of a page 0, 1 if several pages share it, 2 if most do. Pages that share
+    nothing are left out."""
     if not group.num_rows:
         return _LEVELS.empty_table()
+    group = _distinct(group)
     tokens, page = _tokens(group)
     array, window, _, support = _supported(tokens, page, shared)
     support = support[window]
@@ -320,10 +344,11 @@ def _levels(group: pa.Table, shared: pa.Table) -> pa.Table:
     level = _covered(len(tokens), array[support > 1]).astype(np.uint8)
     level += _covered(len(tokens), array[support >= max(3, MOST * pages)])
     ends = np.searchsorted(page, np.arange(group.num_rows + 1))
+    found = [level[a:b] for a, b in zip(ends, ends[1:])]
+    some = np.array([x.any() for x in found], bool)
     return pa.table(
-        [group.column("host"), group.column("copy"), [level[a:b].tobytes() for a, b in zip(ends, ends[1:])]],
-        schema=_LEVELS,
-    )
+        [group.column("host"), group.column("copy"), [zlib.compress(x.tobytes(), 1) for x in found]], schema=_LEVELS
+    ).filter(pa.array(some))
 
 
 def _kept(words: list[str], level: np.ndarray, marked: bool) -> list[str]:
@@ -332,7 +357,8 @@ def _kept(words: list[str], level: np.ndarray, marked: bool) -> list[str]:
     if not marked and level.any():
         edges = np.flatnonzero(np.diff(level > 0, prepend=False, append=False))
         for a, b in zip(edges[::2], edges[1::2]):
-            gone[a:b] = True
+            if a == 0 or b == len(words):
+                gone[a:b] = True
     return [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
 
 
@@ -343,12 +369,18 @@ def _unique_runs(batches):
         for marked, kinds, texts, levels in zip(
             *(batch.column(c).to_pylist() for c in ("marked", "kinds", "texts", "levels")), strict=True
         ):
-            level, at, kept = np.frombuffer(levels or b"", np.uint8), 0, []
+            size = sum(len(t.split()) for t in texts)
+            level = np.frombuffer(zlib.decompress(levels), np.uint8) if levels else np.zeros(size, np.uint8)
+            at, all_of, kept = 0, [], []
             for kind, text in zip(kinds, texts, strict=True):
                 words = text.split()
                 if kind == "content" or not marked:
+                    all_of.append(words)
                     kept.append(_kept(words, level[at: at + len(words)], marked))
                 at += len(words)
+            left, whole = sum(map(len, kept)), sum(map(len, all_of))
+            if not left or marked and 2 * left < whole:
+                kept = all_of
             out.append("\n\n".join(" ".join(words) for words in kept if words))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"]
@@ -375,12 +407,11 @@ def extracted(pages: DataFrame) -> DataFrame:
         parsed.filter(F.size("texts") > 0).select("host", "copy", "texts")
         .mapInArrow(_streams, "host string, copy long, stream binary, sizes array<int>")
         .join(parts, "host").withColumn("part", F.pmod("copy", "parts"))
-        .repartition("host", "part").dropDuplicates(["host", "part", "copy"])
     )
     arrays = streams.groupBy("host", "part")
 
     def met(counts):
-        return written(counts.groupBy("host", "bucket").applyInArrow(_met, SHARED), "html-shared").groupBy("host", "part")
+        return counts.groupBy("host", "bucket").applyInArrow(_met, SHARED).groupBy("host", "part")
 
     shared = met(arrays.applyInArrow(_first_counts, COUNTS))
     shared = met(arrays.cogroup(shared).applyInArrow(_second_counts, COUNTS))

@@ -275,6 +275,31 @@ def test_html_spans_decide_on_marked_pages_too(spark):
     assert found[9] == f"Teaser\n\n{offer} and more"
 
 
+def test_html_copies_and_quotations_stay(spark, monkeypatch):
+    """Pages without marked content: copies under other urls, near copies, a mirror without
+    the footer, and a quotation inside paragraphs, on hosts of one array and of several."""
+    def prose(name, n):
+        return " ".join(f"{name}{j}" for j in range(n))
+
+    def page(i, *texts):
+        return (i, f"http://h/{i}?utm={i}", "<body>" + "".join(f"<div>{t}</div>" for t in texts) + "</body>")
+
+    footer, quote = prose("shared", 14), prose("quote", 12)
+    near = prose("near", 80)
+    quoting = [f"{prose(f'before{i}x', 8)} {quote} {prose(f'after{i}x', 8)}" for i in range(2)]
+    rows = [
+        *(page(i, prose("copy", 60), footer) for i in range(5)), page(5, prose("copy", 60)),
+        page(6, near), page(7, near.replace("near40", "edited")),
+        *(page(8 + i, text, footer) for i, text in enumerate(quoting)), page(10, footer),
+    ]
+    want = {**{i: prose("copy", 60) for i in range(6)}, 6: near, 7: near.replace("near40", "edited"),
+            8: quoting[0], 9: quoting[1], 10: footer}
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for tokens in (500_000, 60):
+        monkeypatch.setattr(html_text, "ARRAY_TOKENS", tokens)
+        assert {r.page_id: r.text for r in html_text.extracted(table).collect()} == want
+
+
 def test_posting_lists(spark):
     vectors = spark.read.parquet(f"{SMALL}/embeddings.parquet")
     rows = {r.vec_id: np.array(r.embedding, float) for r in vectors.collect()}
