@@ -2,8 +2,11 @@
 
 Every run of several consecutive sentences is hashed; all runs of the corpus meet by hash.
 The first place of a run, by id and position, keeps it; sentences covered by any other place
-are removed. A long sentence counts as several, cut every few words from its start, so a
-long passage holds whole runs however it is punctuated.
+are removed. A sentence of more than WINDOW words counts as several. It is cut by content:
+after the word of least hash in each WINDOW consecutive words. So cuts depend on the words
+around them only, a piece has WINDOW words at most, and a passage spliced into other text is
+cut alike everywhere but for WINDOW words at either end: from 49 words on it holds a whole run. Of a repeated passage up to a window may stay at its
+start and two at its end.
 """
 
 from __future__ import annotations
@@ -19,12 +22,25 @@ from orgkin.llm.common import documents, written
 
 SENTENCES = 3  # least sentences in a run
 LEAST_WORDS = 20  # and words: runs of a few short sentences meet by chance
-LONG = 24  # words from which a sentence is cut
-PIECE = 16
+WINDOW = 10  # words of which one is cut after; shorter sentences stay whole
 SENTENCE = re.compile(r"[^.!?\n]*[.!?]*[\"')\]”’]*(?:\s+|$)|[^.!?\n]+[.!?]*", re.S)
 WORD = re.compile(r"\S+\s*")
 
 
+def cuts(words: list[str]) -> list[int]:
+    """Places of the words of least hash in all windows, the last of equal ones."""
+    hashes = [xxhash.xxh3_64_intdigest(w.rstrip().lower()) for w in words]
+    out, best = [], -1
+    for end in range(WINDOW - 1, len(hashes)):
+        if best <= end - WINDOW:
+            best = min(range(end, end - WINDOW, -1), key=hashes.__getitem__)
+        elif hashes[end] <= hashes[best]:
+            best = end
+        if not out or out[-1] != best:
+            out.append(best)
+    return out
+
+
 def sentences(text: str) -> list[str]:
     """The text in pieces that join to it again: sentences, or parts of long ones."""
     out = []
@@ -32,14 +48,16 @@ def sentences(text: str) -> list[str]:
         s = m[0]
         if not s:
             continue
-        words = WORD.findall(s) if len(s) > 2 * LONG else ()
-        if len(words) <= LONG:
+        words = WORD.findall(s) if len(s) > 2 * WINDOW else ()
+        if len(words) <= WINDOW:
             out.append(s)
             continue
         lead = len(s) - sum(map(len, words))
-        for at in range(0, len(words), PIECE):
-            piece = "".join(words[at: at + PIECE])
+        at = 0
+        for end in [i + 1 for i in cuts(words) if i + 1 < len(words)] + [len(words)]:
+            piece = "".join(words[at:end])
             out.append(s[:lead] + piece if at == 0 else piece)
+            at = end
     return out
 
 
@@ -67,35 +85,31 @@ def runs(pieces: list[str]) -> list[tuple[int, int, int]]:
 def _spans(batches):
     for batch in batches:
         ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-        doc, start, end, hashed = [], [], [], []
+        doc, span, hashed = [], [], []
         for i, text in zip(ids, texts, strict=True):
             for a, b, h in runs(sentences(text.as_py())):
                 doc.append(i)
-                start.append(a)
-                end.append(b)
+                span.append(a << 32 | b)
                 hashed.append(h - (1 << 63))
             if len(doc) > 200_000:
-                yield _span_batch(doc, start, end, hashed)
-                doc, start, end, hashed = [], [], [], []
-        yield _span_batch(doc, start, end, hashed)
+                yield _span_batch(doc, span, hashed)
+                doc, span, hashed = [], [], []
+        yield _span_batch(doc, span, hashed)
 
 
-def _span_batch(doc, start, end, hashed):
+def _span_batch(doc, span, hashed):
     return pa.RecordBatch.from_arrays(
-        [pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32()),
-         pa.array(hashed, pa.int64())], ["doc_id", "start", "end", "hash"],
+        [pa.array(doc, pa.int64()), pa.array(span, pa.int64()), pa.array(hashed, pa.int64())], ["doc_id", "span", "hash"],
     )
 
 
 def _cut(batches):
     for batch in batches:
         ids, kept, counts, removed = batch.column("doc_id"), [], [], []
-        for text, starts, ends in zip(
-            batch.column("text"), batch.column("starts"), batch.column("ends"), strict=True
-        ):
+        for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
             pieces = sentences(text.as_py() or "")
             gone = bytearray(len(pieces))
-            for a, b in zip(starts.as_py() or (), ends.as_py() or (), strict=True):
+            for a, b in (divmod(span, 1 << 32) for span in spans.as_py() or ()):
                 if b <= len(gone):
                     gone[a:b] = b"\x01" * (b - a)
             counts.append(len(pieces))
@@ -117,16 +131,16 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spans = written(
-        rows.dropna().mapInArrow(_spans, "doc_id long, start int, end int, hash long"), "spans"
+        rows.dropna().mapInArrow(_spans, "doc_id long, span long, hash long"), "spans"
     )
     first = spans.groupBy("hash").agg(
-        F.min(F.struct("doc_id", "start")).alias("first"), F.count(F.lit(1)).alias("n")
+        F.min(F.struct("doc_id", "span")).alias("first"), F.count(F.lit(1)).alias("n")
     ).filter("n > 1")
-    again = spans.join(first, "hash").filter(F.struct("doc_id", "start") != F.col("first"))
-    covered = again.groupBy("doc_id").agg(
-        F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")
+    again = spans.join(first, "hash").filter(
+        (F.col("doc_id") != F.col("first.doc_id")) | (F.shiftright("span", 32) != F.shiftright("first.span", 32))
     )
-    return rows.join(covered, "doc_id", "left").select("doc_id", "text", "starts", "ends").mapInArrow(
+    covered = again.groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
+    return rows.join(covered, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(
         _cut, "doc_id long, text string, n_sentences long, n_removed long"
     )
 

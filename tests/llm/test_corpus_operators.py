@@ -241,6 +241,27 @@ def test_sentence_spans(spark, documents, awkward, empty):
     assert out[1].endswith("word59") and "word30" not in out[2] and out[2].startswith("Other.") and out[2].endswith("End here.")
 
 
+def test_sentence_spans_of_spliced_passages(spark):
+    """Passages of 51 to 60 words inside running text, at another offset in each document."""
+    rng = np.random.default_rng(6)
+
+    def prose(name, n, stop):
+        return " ".join(f"{name}{rng.integers(1 << 40)}" + ("." if i % stop == stop - 1 else "") for i in range(n))
+
+    texts, middles = {}, {}
+    for n in range(51, 61):
+        for stop in (8, 14, 22, 99):
+            passage = prose("p", n, stop)
+            middles[2 * len(middles) + 1] = passage.split()[10:-20]
+            for before in (3, int(rng.integers(4, 40))):
+                texts[len(texts)] = f"{prose('a', before, 99)} {passage} {prose('z', int(rng.integers(1, 30)), 99)}."
+    found = {r.doc_id: r.text for r in sentence_spans.deduplicated(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    for i, middle in middles.items():
+        assert found[i - 1] == texts[i - 1]
+        assert not set(middle) & set(found[i].split())
+        assert [w for w in texts[i].split() if w[0] != "p"] == [w for w in found[i].split() if w[0] != "p"]
+
+
 def test_html_text(spark):
     footer = " ".join(f"shared{i}" for i in range(14))
     pages = [
