@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from orgkin.llm import (
-    byte_bpe, html_text, jaccard_join, mixing, pii, posting_lists, quality_classifier, quality_rules,
-    sentence_spans, toxicity,
+    byte_bpe, centroids, collocations, html_text, jaccard_join, mixing, pii, posting_lists, quality_classifier,
+    quality_rules, sentence_spans, toxicity, warc,
 )
 
 QUERIES = {
@@ -18,5 +18,13 @@ QUERIES = {
     "op8_jaccard_join": jaccard_join.query,
     "op9_quality_rules": quality_rules.query,
     "op10_source_mixing": mixing.query,
+    "op11_collocations": collocations.query,
+    "op12_centroids": centroids.query,
+    "op13_warc_bundles": warc.query,
+}
+ORACLES = {
+    "op10_source_mixing": mixing.ORACLE,
+    "op11_collocations": collocations.ORACLE,
+    "op12_centroids": centroids.ORACLE,
+    "op13_warc_bundles": warc.ORACLE,
 }
-ORACLES = {"op10_source_mixing": mixing.ORACLE}
