@@ -389,7 +389,7 @@ def _part(first: Column | int, length: Column | int) -> Column:
 
 
 #: floor(2000000 * a / (l + r)) in whole numbers of up to 38 digits
-SCORE = F.expr(
+SCORE = (
     "CAST((CAST(2000000 AS DECIMAL(18,0)) * CAST(a AS DECIMAL(19,0))) DIV "
     "(CAST(l AS DECIMAL(19,0)) + CAST(r AS DECIMAL(19,0))) AS BIGINT)"
 )
@@ -412,7 +412,7 @@ def collocations(docs: DataFrame, budget: int = BUDGET, top: int = TOP) -> DataF
     left = often.select("lang", F.col("phrase").alias("left"), F.col("f").alias("l"))
     right = often.select("lang", F.col("phrase").alias("right"), F.col("f").alias("r"))
     scored = (
-        cuts.join(left, ["lang", "left"]).join(right, ["lang", "right"]).withColumn("score", SCORE)
+        cuts.join(left, ["lang", "left"]).join(right, ["lang", "right"]).withColumn("score", F.expr(SCORE))
         .groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
         .select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
     )

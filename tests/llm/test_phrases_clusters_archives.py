@@ -96,7 +96,7 @@ def test_collocations_of_nothing(repeated):
 def test_scores_do_not_overflow(spark):
     """The arithmetic of the score, at counts whose product passes 64 bits."""
     a, left, right = 4 * 10**18, 8 * 10**18, 9 * 10**18
-    got = spark.createDataFrame([(a, left, right)], "a long, l long, r long").select(collocations.SCORE.alias("s")).first().s
+    got = spark.createDataFrame([(a, left, right)], "a long, l long, r long").select(F.expr(collocations.SCORE).alias("s")).first().s
     assert got == 2000000 * a // (left + right)
 
 
@@ -143,8 +143,12 @@ def _kmeans(rows, k, rounds):
     per = collections.Counter()
     for _, c, d in found:
         per[c] += d
+
+    def long(x):
+        return x if x < 2**63 else None
+
     return {
-        (i, c, d, per[c], sum(per.values()), hashlib.sha256(",".join(map(str, points[c])).encode()).hexdigest())
+        (i, c, d, long(per[c]), long(sum(per.values())), hashlib.sha256(",".join(map(str, points[c])).encode()).hexdigest())
         for i, c, d in found
     }
 
