@@ -32,8 +32,8 @@ LEAST = 30  # occurrences of a candidate
 DEPTH = 4  # words of the longest candidate
 TOP = 2_000
 SHARE = 80  # percent of a phrase's occurrences inside one longer candidate
-BUDGET = 2_000_000  # suffixes that a task holds at once
-BLOCK = 12_000_000  # bytes of text that are turned into subtrees at once
+BUDGET = 1_000_000  # suffixes that a task holds at once
+BLOCK = 6_000_000  # bytes of text that are turned into subtrees at once
 BITS = 25  # the bitmap of words has 2 ** BITS bits, 4 MB
 OTHER = "und"  # language of documents without one
 
@@ -48,7 +48,7 @@ _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
 def _codes(values: np.ndarray) -> tuple[np.ndarray, int]:
     """Dense numbers for equal values, in order of first appearance, and how many there are."""
     coded = pa.array(values).dictionary_encode()
-    return coded.indices.to_numpy().astype(np.int64), len(coded.dictionary)
+    return coded.indices.to_numpy(), len(coded.dictionary)
 
 
 def _sample_rows(codes: np.ndarray, n: int) -> np.ndarray:
@@ -58,6 +58,30 @@ def _sample_rows(codes: np.ndarray, n: int) -> np.ndarray:
     return rows
 
 
+def word_hashes(langs: pa.Array, words: pa.Array) -> np.ndarray:
+    """A number of 64 bits for each (language, word): a polynomial of the word's bytes."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset: words.offset + len(words) + 1].astype(np.int64)
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0]: offsets[-1]].astype(np.uint64)
+    offsets -= offsets[0]
+    length = np.diff(offsets)
+    powers = np.full(int(length.max()) + 1, 0x9E3779B97F4A7C15, np.uint64)
+    powers = np.multiply.accumulate(powers)
+    place = np.arange(len(data)) - np.repeat(offsets[:-1], length)
+    own = np.add.reduceat(data * powers[place], offsets[:-1]) + powers[length]
+    lang = langs.dictionary_encode()
+    seeds = np.array([xxhash.xxh64_intdigest(x) for x in lang.dictionary.to_pylist()], np.uint64)
+    return _mixed(seeds[lang.indices.to_numpy()], own)
+
+
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of a prefix from those of its beginning and its last word."""
+    x = (a ^ (a >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + b
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(27))
+
+
 class Block:
     """Words of a stretch of text: ``word`` numbers distinct (language, word) pairs from 1 on.
 
@@ -82,38 +106,32 @@ class Block:
             len(begin), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[word]))
         ).dictionary_encode()
         cuts = np.flatnonzero((kind == 2) | first[:-1])
-        self.piece = np.searchsorted(cuts, begin, "right")
+        self.piece = np.searchsorted(cuts, begin, "right").astype(np.int32)
         doc = np.searchsorted(starts, begin, "right") - 1
         lang = langs.dictionary_encode()
         own = lang.indices.to_numpy().astype(np.int64)[doc]
         many = max(len(spelled.dictionary), 1)
         pair, n = _codes(own * many + spelled.indices.to_numpy())
         rows = _sample_rows(pair, n)
-        self.word = pair + 1
+        self.word = pair + np.int32(1)
         self.langs = lang.dictionary.take(pa.array(own[rows]))
         self.words = spelled.dictionary.take(pa.array(spelled.indices.to_numpy()[rows]))
         self.counts = np.bincount(pair, minlength=n)
 
     def hashes(self) -> np.ndarray:
-        """``xxhash64(lang, word)`` of Spark SQL for each pair; entry 0 stands for no word."""
-        seeds: dict[str, int] = {}
-        out = np.zeros(len(self.words) + 1, np.uint64)
-        for i, (lang, word) in enumerate(zip(self.langs.to_pylist(), self.words.to_pylist(), strict=True)):
-            if lang not in seeds:
-                seeds[lang] = xxhash.xxh64_intdigest(lang, 42)
-            out[i + 1] = xxhash.xxh64_intdigest(word, seeds[lang])
-        return out
+        """The hash of each pair; entry 0 stands for no word."""
+        return np.concatenate([np.zeros(1, np.uint64), word_hashes(self.langs, self.words)])
 
     def suffixes(self, keep: np.ndarray) -> np.ndarray:
         """A row of DEPTH word numbers for each kept word and what follows it in its piece, 0
         from the first word on that is not kept; ``keep`` has one flag per number."""
         n = len(self.word)
-        word = np.zeros(n + DEPTH, np.int64)
+        word = np.zeros(n + DEPTH, np.int32)
         word[:n] = np.where(keep[self.word], self.word, 0)
-        piece = np.full(n + DEPTH, -1, np.int64)
+        piece = np.full(n + DEPTH, -1, np.int32)
         piece[:n] = self.piece
         at = np.flatnonzero(word[:n])
-        rows = np.zeros((len(at), DEPTH), np.int64)
+        rows = np.zeros((len(at), DEPTH), np.int32)
         rows[:, 0] = word[at]
         alive = np.ones(len(at), bool)
         for k in range(1, DEPTH):
@@ -153,6 +171,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
             first = int(np.searchsorted(starts, at, "right")) - 1
             last = int(np.searchsorted(starts, end, "left"))
             yield Block(_LOWER[data[at:end]], np.maximum(starts[first:last] - at, 0), batch.column("lang")[first:last])
+            pa.default_memory_pool().release_unused()
             at = end
 
 
@@ -167,7 +186,7 @@ def _prefix_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             rows = rows[rows[:, k - 1] > 0]
             codes = rows[:, 0]
             for c in range(1, k):
-                codes, n = _codes(codes * (len(block.words) + 1) + rows[:, c])
+                codes, n = _codes(codes.astype(np.int64) * (len(block.words) + 1) + rows[:, c])
             if not len(codes):
                 break
             counts = np.bincount(codes, minlength=n)
@@ -181,15 +200,9 @@ def _prefix_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
-def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Hash of a prefix from those of its beginning and its last word."""
-    x = (a ^ (a >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + b
-    return (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-
-
 def _prefix_hash(lang: str, phrase: str) -> int:
-    seed = xxhash.xxh64_intdigest(lang, 42)
-    own = np.array([xxhash.xxh64_intdigest(w, seed) for w in phrase.split(" ")], np.uint64)
+    words = phrase.split(" ")
+    own = word_hashes(pa.array([lang] * len(words)), pa.array(words))
     out = own[:1]
     for k in range(1, len(own)):
         out = _mixed(out, own[k: k + 1])
@@ -204,13 +217,13 @@ class Groups:
         self.heavy = [np.array(sorted(h), np.uint64) for h in heavy]
         self.groups = groups
 
-    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Group and length of the prefix for suffixes given by the hashes of their words."""
-        own = hashes[:, 0].copy()
+    def of(self, hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Group and length of the prefix of each suffix; ``rows`` say whose hashes its words have."""
+        own = hashes[rows[:, 0]]
         length = np.ones(len(own), np.int64)
         for k, heavy in enumerate(self.heavy):
             on = (length == k + 1) & np.isin(own, heavy)
-            own[on] = _mixed(own[on], hashes[on, k + 1])
+            own[on] = _mixed(own[on], hashes[rows[on, k + 1]])
             length[on] = k + 2
         own ^= own >> np.uint64(32)
         return (own % np.uint64(self.groups)).astype(np.int32), length
@@ -231,17 +244,18 @@ def _subtrees(bits: bytes, groups: Groups):
             if not len(rows):
                 continue
             many = len(block.words) + 1
-            left, _ = _codes(rows[:, 0] * many + rows[:, 1])
-            right, n_right = _codes(rows[:, 2] * many + rows[:, 3])
-            suffix, n = _codes(left * n_right + right)
+            pair = rows[:, 0].astype(np.int64) * many + rows[:, 1]
+            triple, n = _codes(_codes(pair)[0].astype(np.int64) * many + rows[:, 2])
+            suffix, n = _codes(triple.astype(np.int64) * many + rows[:, 3])
             counts = np.bincount(suffix, minlength=n)
-            rows = rows[_sample_rows(suffix, n)]
-            group, length = groups.of(hashes[rows])
+            one = _sample_rows(suffix, n)
+            rows, pair, triple = rows[one], pair[one], triple[one]
+            group, length = groups.of(hashes, rows)
             for size in range(1, DEPTH + 1):
                 mine = np.flatnonzero(length == size)
                 if not len(mine):
                     continue
-                mine = mine[np.lexsort(rows[mine].T[::-1])]
+                mine = mine[np.argsort((pair if size < DEPTH - 1 else triple)[mine])]  # equal prefixes together
                 own = rows[mine]
                 new = np.ones(len(own), bool)
                 new[1:] = (own[1:, :size] != own[:-1, :size]).any(1)
@@ -308,7 +322,7 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(1, DEPTH):  # downwards: children of the nodes of k words
             here = np.full(len(rows), -1, np.int64)
             deep = depth > k
-            codes, n = _codes(at[-1][0][deep] * many + rows[deep, k])
+            codes, n = _codes(at[-1][0][deep].astype(np.int64) * many + rows[deep, k])
             here[deep] = codes
             at.append((here, n))
         below = None
@@ -337,10 +351,15 @@ def _size(phrase: str) -> Column:
     return F.size(F.split(phrase, " "))
 
 
+def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = (word_hashes(batch.column("lang"), batch.column("phrase")) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(at >> 3), pa.array(1 << (at & 7))], ["byte", "mask"])
+
+
 def _word_bits(words: DataFrame) -> bytes:
     """A bitmap of 2 ** BITS bits by the hash of language and word."""
-    bit = words.select(F.xxhash64("lang", "phrase").bitwiseAND((1 << BITS) - 1).alias("bit"))
-    masks = bit.select(F.shiftright("bit", 3).alias("byte"), F.expr("shiftleft(1, CAST(bit & 7 AS INT))").alias("mask"))
+    masks = words.select("lang", "phrase").mapInArrow(_bits, "byte long, mask long")
     table = masks.groupBy("byte").agg(F.bit_or("mask").alias("mask")).toArrow()
     out = np.zeros(1 << (BITS - 3), np.uint8)
     out[table["byte"].to_numpy()] = table["mask"].to_numpy()

@@ -7,7 +7,6 @@ import re
 
 import numpy as np
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from orgkin.llm import centroids, collocations, warc
@@ -119,10 +118,16 @@ def test_blocks_end_between_pieces(monkeypatch, repeated):
     assert counts[0] == counts[1] == counts[2] and sum(counts[0].values()) > 5000
 
 
-def test_word_hashes_are_those_of_spark(spark):
-    rows = [("en", "word"), ("", "É"), ("日本", "x" * 100), ("de", "")]
-    got = spark.createDataFrame(rows, "a string, b string").select(F.xxhash64("a", "b").alias("h")).collect()
-    assert [r.h % 2**64 for r in got] == [xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, 42)) for a, b in rows]
+def test_word_hashes_depend_on_language_and_word_alone():
+    import pyarrow as pa
+
+    words = ["word", "drow", "É", "x" * 1000, "x" * 1001, "a", "aa", "\x00", "\x00\x00"]
+    langs = ["en", "de", "", "en"]
+    both = [(x, w) for x in langs for w in words]
+    got = collocations.word_hashes(pa.array([x for x, _ in both]), pa.array([w for _, w in both])).tolist()
+    assert len(set(got)) == len(set(both)) and len(dict(zip(both, got, strict=True))) == len(set(both))
+    part = collocations.word_hashes(pa.array(["no", "en"]).slice(1), pa.array(["no", "É"]).slice(1))
+    assert part.tolist() == [got[both.index(("en", "É"))]]
 
 
 def _kmeans(rows, k, rounds):
