@@ -4,14 +4,15 @@ The suffixes of all pieces, cut after four words, form one tree; the total of a
 often its phrase occurs. The tree is partitioned vertically: a first scan counts words (and
 the pairs and triples that are frequent within a block of text), and word prefixes are dealt
 to groups that hold BUDGET suffixes at most. A prefix that outgrows its share of a group is
-replaced by its extensions by one word. A second scan sends each prefix's subtree of a block,
+replaced by its extensions by one word. Another scan sends each prefix's subtree of a block,
 one row each, to its group, whose subtrees are built in memory, independently of all others;
 leaf totals are summed up towards the root. Only prefixes that were extended meet in several
 groups; their totals are added up at the end.
 
-A phrase occurs at most as often as each of its words, so suffixes end before a word that is
-too rare. The words that are not go to the tasks as a bitmap of a fixed size; what it lets
-through by collision is counted and dropped at the end.
+The tree grows in two rounds, to two words and then to all, and only branches that are still
+open grow on: a phrase occurs at most as often as each of its words and pairs, so suffixes end
+before a word or pair that is too rare. Those that are not go to the tasks as bitmaps of a
+fixed size; what these let through by collision is counted and dropped at the end.
 """
 
 from __future__ import annotations
@@ -82,6 +83,24 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(27))
 
 
+def phrase_hashes(langs: pa.Array, phrases: pa.Array) -> np.ndarray:
+    """The same for phrases, all of as many words."""
+    words = pc.split_pattern(phrases, " ").flatten()
+    size = len(words) // max(len(phrases), 1)
+    each = pa.array(np.repeat(np.arange(len(phrases)), size))
+    own = word_hashes(langs.take(each), words.take(pa.array(np.arange(len(words))))).reshape(len(phrases), size)
+    out = own[:, 0]
+    for k in range(1, size):
+        out = _mixed(out, own[:, k])
+    return out
+
+
+def _in(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bitmap has each hash."""
+    at = (hashes & np.uint64((1 << BITS) - 1)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
 class Block:
     """Words of a stretch of text: ``word`` numbers distinct (language, word) pairs from 1 on.
 
@@ -122,20 +141,29 @@ class Block:
         """The hash of each pair; entry 0 stands for no word."""
         return np.concatenate([np.zeros(1, np.uint64), word_hashes(self.langs, self.words)])
 
-    def suffixes(self, keep: np.ndarray) -> np.ndarray:
-        """A row of DEPTH word numbers for each kept word and what follows it in its piece, 0
-        from the first word on that is not kept; ``keep`` has one flag per number."""
-        n = len(self.word)
-        word = np.zeros(n + DEPTH, np.int32)
-        word[:n] = np.where(keep[self.word], self.word, 0)
-        piece = np.full(n + DEPTH, -1, np.int32)
-        piece[:n] = self.piece
-        at = np.flatnonzero(word[:n])
+    def links(self, keep: np.ndarray, pairs: np.ndarray | None = None) -> np.ndarray:
+        """Whether a phrase can go on from each word to the next one: both are kept (a flag per
+        number), stand in one piece and are in the bitmap of ``pairs``, where there is one."""
+        kept = keep[self.word]
+        out = np.zeros(len(kept) + DEPTH, bool)
+        out[: max(len(kept) - 1, 0)] = kept[1:] & kept[:-1] & (self.piece[1:] == self.piece[:-1])
+        if pairs is not None:
+            at, hashes = np.flatnonzero(out), self.hashes()
+            out[at] = _in(pairs, _mixed(hashes[self.word[at]], hashes[self.word[at + 1]]))
+        return out
+
+    def suffixes(self, links: np.ndarray, least: int = 2, most: int = DEPTH) -> np.ndarray:
+        """A row of DEPTH word numbers for each word from which a phrase of ``least`` words goes
+        on: up to ``most`` words, then 0."""
+        at = np.flatnonzero(links)
+        for k in range(1, least - 1):
+            at = at[links[at + k]]
+        word = np.append(self.word, np.zeros(DEPTH, np.int32))
         rows = np.zeros((len(at), DEPTH), np.int32)
         rows[:, 0] = word[at]
         alive = np.ones(len(at), bool)
-        for k in range(1, DEPTH):
-            alive &= (piece[at + k] == piece[at]) & (word[at + k] > 0)
+        for k in range(1, most):
+            alive &= links[at + k - 1]
             rows[:, k] = np.where(alive, word[at + k], 0)
         return rows
 
@@ -180,8 +208,7 @@ def _prefix_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     occurrences there."""
     for block in _blocks(batches):
         found = [(block.langs, block.words, block.counts)]
-        often = np.concatenate([[False], block.counts >= LEAST])
-        rows = block.suffixes(often)
+        rows = block.suffixes(block.links(np.append(False, block.counts >= LEAST)))
         for k in range(2, DEPTH):
             rows = rows[rows[:, k - 1] > 0]
             codes = rows[:, 0]
@@ -200,15 +227,6 @@ def _prefix_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
-def _prefix_hash(lang: str, phrase: str) -> int:
-    words = phrase.split(" ")
-    own = word_hashes(pa.array([lang] * len(words)), pa.array(words))
-    out = own[:1]
-    for k in range(1, len(own)):
-        out = _mixed(out, own[k: k + 1])
-    return int(out[0])
-
-
 class Groups:
     """Which group a suffix belongs to: by the hash of its shortest prefix that is not heavy."""
 
@@ -229,33 +247,35 @@ class Groups:
         return (own % np.uint64(self.groups)).astype(np.int32), length
 
 
-def _subtrees(bits: bytes, groups: Groups):
-    """Turns texts into a row for each prefix of a block: what follows it there, how often."""
+def _subtrees(words: bytes, pairs: bytes | None, groups: Groups, least: int, most: int):
+    """Turns texts into a row for each prefix of a block: what follows it there, how often.
+
+    Phrases have ``least`` to ``most`` words, those and whose pairs are in the bitmaps."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.frombuffer(bits, np.uint8)
+        often = np.frombuffer(words, np.uint8)
+        often_pairs = None if pairs is None else np.frombuffer(pairs, np.uint8)
         for block in _blocks(batches):
             hashes = block.hashes()
-            at = (hashes & np.uint64((1 << BITS) - 1)).astype(np.int64)
-            keep = (bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+            keep = _in(often, hashes)
             keep[0] = False
-            rows = block.suffixes(keep)
-            rows = rows[rows[:, 1] > 0]
+            rows = block.suffixes(block.links(keep, often_pairs), least, most)
             if not len(rows):
                 continue
             many = len(block.words) + 1
-            pair = rows[:, 0].astype(np.int64) * many + rows[:, 1]
-            triple, n = _codes(_codes(pair)[0].astype(np.int64) * many + rows[:, 2])
-            suffix, n = _codes(triple.astype(np.int64) * many + rows[:, 3])
-            counts = np.bincount(suffix, minlength=n)
-            one = _sample_rows(suffix, n)
-            rows, pair, triple = rows[one], pair[one], triple[one]
+            codes = [rows[:, 0]]
+            for k in range(1, most):
+                code, n = _codes(codes[-1].astype(np.int64) * many + rows[:, k])
+                codes.append(code)
+            counts = np.bincount(codes[-1], minlength=n)
+            one = _sample_rows(codes[-1], n)
+            rows, codes = rows[one], [c[one] for c in codes]
             group, length = groups.of(hashes, rows)
-            for size in range(1, DEPTH + 1):
+            for size in range(1, most + 1):
                 mine = np.flatnonzero(length == size)
                 if not len(mine):
                     continue
-                mine = mine[np.argsort((pair if size < DEPTH - 1 else triple)[mine])]  # equal prefixes together
+                mine = mine[np.argsort(codes[size - 1][mine])]  # equal prefixes together
                 own = rows[mine]
                 new = np.ones(len(own), bool)
                 new[1:] = (own[1:, :size] != own[:-1, :size]).any(1)
@@ -264,7 +284,8 @@ def _subtrees(bits: bytes, groups: Groups):
                 tails = block.joined(own[:, size:]) if size < DEPTH else pa.array([""] * len(own), pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(group[mine][first]), pa.array(np.full(len(first), size, np.int32)), block.langs.take(pa.array(own[first, 0] - 1)),
+                        pa.array(group[mine][first]), pa.array(np.full(len(first), size, np.int32)),
+                        block.langs.take(pa.array(own[first, 0] - 1)),
                         block.joined(own[first, :size]),
                         pc.binary_join(pa.ListArray.from_arrays(ends, tails), "\n"),
                         pa.ListArray.from_arrays(ends, pa.array(counts[mine].astype(np.int64))),
@@ -311,40 +332,48 @@ def _columns(tree: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Arr
     return rows, tree["size"].to_numpy()[of_row], counts, spelled.dictionary, lang.dictionary
 
 
-def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The nodes of two words and more of each group's tree, with their totals; nodes whose
-    total is known to be below LEAST stay out."""
-    for tree in runs_of(batches, "group"):
-        rows, size, counts, words, langs = _columns(tree)
-        many = len(words) + 1
-        depth = (rows >= 0).sum(1)
-        at = [_codes(rows[:, 0])]
-        for k in range(1, DEPTH):  # downwards: children of the nodes of k words
-            here = np.full(len(rows), -1, np.int64)
-            deep = depth > k
-            codes, n = _codes(at[-1][0][deep].astype(np.int64) * many + rows[deep, k])
-            here[deep] = codes
-            at.append((here, n))
-        below = None
-        for k in range(DEPTH - 1, 0, -1):  # upwards: leaf totals, then sums of children
-            node, n = at[k]
-            total = np.zeros(n, np.int64)
-            ends = depth == k + 1
-            np.add.at(total, node[ends], counts[ends])
-            if below is not None:
-                child, sums = below
-                np.add.at(total, node[child], sums)
-            on = node >= 0
-            rep = np.zeros(n, np.int64)
-            rep[node[on]] = np.flatnonzero(on)
-            below = rep, total
-            kept = (total >= LEAST) | (size[rep] > k + 1)
-            chosen = rows[rep[kept], : k + 1]
-            lang, chosen[:, 0] = np.divmod(chosen[:, 0], len(words))
-            phrase = pc.binary_join_element_wise(*[words.take(pa.array(chosen[:, c])) for c in range(k + 1)], " ")
-            yield pa.RecordBatch.from_arrays(
-                [langs.take(pa.array(lang)), phrase, pa.array(total[kept])], ["lang", "phrase", "f"]
-            )
+def _totals(least: int):
+    """The nodes of ``least`` words and more of each group's tree, with their totals; nodes
+    whose total is known to be below LEAST stay out."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tree in runs_of(batches, "group"):
+            yield from _nodes(tree, least)
+
+    return made
+
+
+def _nodes(tree: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
+    rows, size, counts, words, langs = _columns(tree)
+    many = len(words) + 1
+    depth = (rows >= 0).sum(1)
+    at = [_codes(rows[:, 0])]
+    for k in range(1, DEPTH):  # downwards: children of the nodes of k words
+        here = np.full(len(rows), -1, np.int64)
+        deep = depth > k
+        codes, n = _codes(at[-1][0][deep].astype(np.int64) * many + rows[deep, k])
+        here[deep] = codes
+        at.append((here, n))
+    below = None
+    for k in range(DEPTH - 1, least - 2, -1):  # upwards: leaf totals, then sums of children
+        node, n = at[k]
+        total = np.zeros(n, np.int64)
+        ends = depth == k + 1
+        np.add.at(total, node[ends], counts[ends])
+        if below is not None:
+            child, sums = below
+            np.add.at(total, node[child], sums)
+        on = node >= 0
+        rep = np.zeros(n, np.int64)
+        rep[node[on]] = np.flatnonzero(on)
+        below = rep, total
+        kept = (total >= LEAST) | (size[rep] > k + 1)
+        chosen = rows[rep[kept], : k + 1]
+        lang, chosen[:, 0] = np.divmod(chosen[:, 0], len(words))
+        phrase = pc.binary_join_element_wise(*[words.take(pa.array(chosen[:, c])) for c in range(k + 1)], " ")
+        yield pa.RecordBatch.from_arrays(
+            [langs.take(pa.array(lang)), phrase, pa.array(total[kept])], ["lang", "phrase", "f"]
+        )
 
 
 def _size(phrase: str) -> Column:
@@ -353,19 +382,31 @@ def _size(phrase: str) -> Column:
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at = (word_hashes(batch.column("lang"), batch.column("phrase")) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+        hashes = phrase_hashes(batch.column("lang"), batch.column("phrase"))
+        at = (hashes & np.uint64((1 << BITS) - 1)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(at >> 3), pa.array(1 << (at & 7))], ["byte", "mask"])
 
 
-def _word_bits(words: DataFrame) -> bytes:
-    """A bitmap of 2 ** BITS bits by the hash of language and word."""
-    masks = words.select("lang", "phrase").mapInArrow(_bits, "byte long, mask long")
+def bitmap(phrases: DataFrame) -> bytes:
+    """2 ** BITS bits by the hash of language and phrase; all phrases have as many words."""
+    masks = phrases.select("lang", "phrase").mapInArrow(_bits, "byte long, mask long")
     table = masks.groupBy("byte").agg(F.bit_or("mask").alias("mask")).toArrow()
     out = np.zeros(1 << (BITS - 3), np.uint8)
     out[table["byte"].to_numpy()] = table["mask"].to_numpy()
     return out.tobytes()
 
 
+def _grown(rows: DataFrame, words: bytes, pairs: bytes | None, groups: Groups, least: int, most: int) -> DataFrame:
+    """``lang, phrase, size, f`` of the phrases of those lengths that occur LEAST times."""
+    return (
+        rows.mapInArrow(_subtrees(words, pairs, groups, least, most), SUBTREES)
+        .repartition("group").sortWithinPartitions("group")
+        .mapInArrow(_totals(least), "lang string, phrase string, f long")
+        .groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= LEAST)
+        .select("lang", "phrase", _size("phrase").alias("size"), "f")
+    )
+
+
 def phrase_counts(docs: DataFrame, budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, size, f``: every phrase of up to DEPTH words that occurs LEAST times in
     its language; and ``lang, n``: all word occurrences of each language.
@@ -385,22 +426,18 @@ def phrase_counts(docs: DataFrame, budget: int = BUDGET) -> tuple[DataFrame, Dat
     )
     words = prefixes.filter("size = 1").select("lang", "phrase", "size", F.col("n").alias("f"))
     often = words.filter(F.col("f") >= LEAST)
-    total = words.agg(F.sum("f")).first()[0] or 0
     heavy: list[list[int]] = [[] for _ in range(DEPTH - 1)]
     for r in prefixes.filter(F.col("n") > budget // 4).collect():
-        heavy[r["size"] - 1].append(_prefix_hash(r["lang"], r["phrase"]))
-    groups = Groups(heavy, max(1, -(-2 * total // budget)))
-    totals = (
-        rows.mapInArrow(_subtrees(_word_bits(often), groups), SUBTREES)
-        .repartition("group").sortWithinPartitions("group")
-        .mapInArrow(_totals, "lang string, phrase string, f long")
-        .groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= LEAST)
-        .withColumn("size", _size("phrase"))
-    )
-    return (
-        written(often.unionByName(totals), "collocation-phrases"),
-        words.groupBy("lang").agg(F.sum("f").alias("n")),
-    )
+        hashed = phrase_hashes(pa.array([r["lang"]]), pa.array([r["phrase"]]))
+        heavy[r["size"] - 1].append(int(hashed[0]))
+
+    def groups(counted: DataFrame, prefixes: list[list[int]]) -> Groups:
+        return Groups(prefixes, max(1, -(-2 * (counted.agg(F.sum("f")).first()[0] or 0) // budget)))
+
+    bits = bitmap(often)
+    pairs = written(_grown(rows, bits, None, groups(often, heavy[:1]), 2, 2), "collocation-pairs")
+    more = written(_grown(rows, bits, bitmap(pairs), groups(pairs, heavy), 3, DEPTH), "collocation-phrases")
+    return often.unionByName(pairs).unionByName(more), words.groupBy("lang").agg(F.sum("f").alias("n"))
 
 
 def _part(first: Column | int, length: Column | int) -> Column:

@@ -110,7 +110,7 @@ def test_blocks_end_between_pieces(monkeypatch, repeated):
         monkeypatch.setattr(collocations, "BLOCK", size)
         f = collections.Counter()
         for block in collocations._blocks(iter([batch.slice(1)])):
-            kept = block.suffixes(np.arange(len(block.words) + 1) > 0)
+            kept = block.suffixes(block.links(np.arange(len(block.words) + 1) > 0))
             langs = block.langs.to_pylist()
             for row, phrase in zip(kept, block.joined(kept).to_pylist(), strict=True):
                 f[langs[row[0] - 1], phrase] += 1
