@@ -720,4 +720,6 @@ def all_oracles() -> dict[str, str]:
       WHERE length(said) > 3 AND contains({words}, ' ' || said || ' ')) AS parsed_country,
       CASE {said} END AS parsed_entity_status,
       nullif(regexp_extract(text, '{place}', 1), '') AS parsed_jurisdiction FROM asked""")
-    return o
+    from checks.linkage import linkage_oracles
+
+    return o | linkage_oracles()

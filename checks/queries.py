@@ -651,4 +651,7 @@ PREFIXES = ("src_", "norm_", "dq_", "sink_", "er_", "search_", "vec_", "graph_",
 
 
 def all_queries():
-    return {n: f for n, f in globals().items() if n.startswith(PREFIXES) and callable(f)}
+    from checks.linkage import linkage_queries
+
+    own = {n: f for n, f in globals().items() if n.startswith(PREFIXES) and callable(f)}
+    return own | linkage_queries()

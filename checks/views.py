@@ -128,6 +128,40 @@ FROM {customer}
 """
 
 # Reviewer events: purchases and sign-ups accept, errors reject, the rest say nothing.
+# Chains over thirds, second parents, pairs of companies that own each other, and rows to drop.
+OWNERSHIP = """
+SELECT 'LEI' || lpad(cast(k AS string), 17, '0') AS lei,
+  'LEI' || lpad(cast(p AS string), 17, '0') AS parent_lei, kind AS relationship_type
+FROM (
+  SELECT c_custkey AS k, cast(floor(c_custkey / 3) AS bigint) AS p, 'DIRECT' AS kind
+  FROM {customer} WHERE c_custkey % 11 <> 0
+  UNION ALL SELECT c_custkey AS k, c_custkey - 5 AS p, 'DIRECT' AS kind FROM {customer} WHERE c_custkey % 7 = 0
+  UNION ALL SELECT c_custkey AS k, c_custkey + 1 AS p, 'DIRECT' AS kind FROM {customer} WHERE c_custkey % 101 = 1
+  UNION ALL SELECT c_custkey AS k, c_custkey - 1 AS p, 'DIRECT' AS kind FROM {customer} WHERE c_custkey % 101 = 2
+  UNION ALL SELECT c_custkey AS k, cast(NULL AS bigint) AS p, 'DIRECT' AS kind FROM {customer}
+  UNION ALL SELECT c_custkey AS k, c_custkey + 2 AS p, 'OTHER' AS kind FROM {customer}
+) t
+"""
+
+# Pairs a reviewer confirmed: runs of six companies that follow each other.
+CONFIRMED = """
+SELECT 'LEI' || lpad(cast(c_custkey AS string), 17, '0') AS lei_a,
+  'LEI' || lpad(cast(c_custkey + 1 AS string), 17, '0') AS lei_b
+FROM {customer} WHERE c_custkey % 6 <> 0
+"""
+
+# Watchlist lines with names like those of companies, and a second name each.
+SCREEN_LINES = f"""
+SELECT '{{{{"id":"OS-' || cast(s_suppkey AS string) || '","schema":"'
+  || {pick_any("Company|Organization|LegalEntity|Person", "s_suppkey")}
+  || '","datasets":["ofac","' || lower(n_name) || '"],"properties":{{{{"name":['
+  || CASE WHEN s_suppkey % 9 = 4 THEN '' ELSE '"' || upper(nm) || '","Trading ' || nm || ' Overseas"' END
+  || '],"country":[' || CASE WHEN s_suppkey % 5 = 2 THEN '' ELSE
+       '"' || lower({pick(NATION_CODES, "n_nationkey")}) || '"' END || ']}}}}}}}}' AS value
+FROM (SELECT s_suppkey, s_nationkey, s_suppkey AS k, {COMPANY_NAME} AS nm FROM {{supplier}}) s JOIN {{nation}} ON s_nationkey = n_nationkey
+UNION ALL SELECT '{{{{"id":"OS-' || cast(s_suppkey AS string) || '", broken' AS value FROM {{supplier}}
+"""
+
 REVIEW_EVENTS = """
 SELECT CASE WHEN event_type = 'signup' AND value > 20 THEN 'GONE' ELSE 'LEI' END
     || lpad(cast(user_id AS string), 17, '0') AS lei,

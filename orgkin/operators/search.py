@@ -71,6 +71,16 @@ def search_entities(
     ).offset(offset).limit(n)
 
 
+def entities_by_alias(stored: DataFrame, aliases: DataFrame, text: str) -> DataFrame:
+    """Stored companies with an other name that contains the text, and the first such name.
+
+    ``aliases`` as from ``screening.alias_rows``, one row per company and name.
+    """
+    like = _contains(text)
+    named = aliases.filter(F.col("alias").ilike(like) | F.col("normalized_alias").ilike(like))
+    return stored.join(named.groupBy("lei").agg(F.min("alias").alias("alias")), "lei")
+
+
 def entity_by_lei(stored: DataFrame, lei: str) -> DataFrame:
     return stored.filter(F.col("lei") == lei)
 
