@@ -5,7 +5,8 @@ of the same type and format: digits stay digits, letters stay letters of their s
 case, cards that pass the check digit still do, given names keep their gender. All distinct
 entities of the corpus are in one table: surrogates that collide with each other or with an
 entity that exists are drawn again, so different entities stay different, and the same one
-is replaced alike everywhere, however it is punctuated.
+is replaced alike everywhere, however it is punctuated. Where so many entities of a shape
+exist that draws keep failing, those left over change places among themselves.
 
 Only distinct entities and the documents that hold some are shuffled; the text of all other
 documents passes through.
@@ -19,19 +20,24 @@ from pyspark.sql.window import Window as W
 
 from orgkin.llm.common import documents, written
 
-KEY = "surrogate-key-1"
+KEY = "surrogate-key-1"  # for tests and examples; whoever knows the key can redo the draws
+ROUNDS = 10  # draws before what is left over changes places
 
 # --- Fixed values: common given names by gender and script -----------------------------
 GIVEN = {
     "given_m": (
         "James Robert Michael William David Richard Joseph Thomas Charles Daniel Matthew Anthony "
         "Donald Steven Andrew Joshua Kenneth Kevin Brian Jürgen Wolfgang Klaus Heinz Pierre Jacques "
-        "Philippe François Antonio Manuel Carlos Javier"
+        "Philippe François Antonio Manuel Carlos Javier John Peter Paul George Edward Ronald Timothy "
+        "Jason Jeffrey Ryan Jacob Nicholas Eric Jonathan Stephen Benjamin Samuel Gregory Alexander "
+        "Patrick Dennis Hans Stefan Andreas Markus Jean Alain Laurent José Miguel Pedro Luis"
     ).split(),
     "given_f": (
         "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Margaret "
         "Sandra Ashley Kimberly Emily Michelle Ursula Sabine Monika Petra Renate Nathalie Isabelle "
-        "Sylvie Catherine Françoise Carmen Josefa Isabel Dolores Pilar"
+        "Sylvie Catherine Françoise Carmen Josefa Isabel Dolores Pilar Jane Anna Maria Laura Helen "
+        "Nicole Emma Rachel Julie Christine Deborah Angela Amy Kathleen Martha Victoria Hannah "
+        "Claudia Andrea Birgit Martine Valérie Lucía Marta Elena Teresa Ana Rosa"
     ).split(),
     "given_cyr_m": "Иван Сергей Дмитрий Алексей Михаил Николай Андрей Владимир".split(),
     "given_cyr_f": "Анна Мария Ольга Елена Наталья Татьяна Ирина Светлана".split(),
@@ -71,7 +77,7 @@ PATTERNS = {
     "card": r"(?<!\d)\d(?:[ \-]?\d){12,18}(?!\d)",
     "name": (
         rf"(?<![\p{{L}}\p{{N}}])(?:(?:{TITLES}) {NAME_WORD}(?: {NAME_WORD}){{0,2}}"
-        rf"|(?:{_given}) {NAME_WORD})"
+        rf"|(?:{_given})(?: (?:{_given}|\p{{Lu}}\.)){{0,2}} {NAME_WORD})"
     ),
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -106,7 +112,8 @@ def _parts(entity: Column) -> Column:
     """``kind, norm`` of what is replaced in an entity; a name has one for each word.
 
     Titles stay, so the gender they tell stays; given names outside the lists are replaced
-    like surnames, which have none.
+    like surnames, which have none. An initial is a letter with a dot. A name is found by a
+    title, or by a given name of the lists with given names or initials after it, then a surname.
     """
     kind = _kind(entity)
     title = rf"^(?:{TITLES})$"
@@ -115,6 +122,7 @@ def _parts(entity: Column) -> Column:
         of = F.when(w.rlike(title), "title")
         for name, names in GIVEN.items():
             of = of.when(w.isin(*names), name)
+        of = of.when(w.rlike(r"^\p{Lu}\.$"), "initial")
         of = of.when(w.rlike(r"\p{IsCyrillic}"), "surname_cyr").when(w.rlike(r"\p{IsGreek}"), "surname_gr")
         return F.struct(of.otherwise("surname").alias("kind"), w.alias("norm"))
 
@@ -129,12 +137,18 @@ def _parts(entity: Column) -> Column:
     )
 
 
-def _stream(*salt: Column) -> Column:
+def _stream(key: str, *salt: Column) -> Column:
     """256 hex digits that depend on the key and the salt."""
-    base = F.concat_ws("|", F.lit(KEY), *salt)
+    base = _keyed(key, F.concat_ws("|", *salt))
     return F.concat(*[F.sha2(F.concat(base, F.lit(f"|{i}")), 256) for i in range(4)])
 
 
+def _keyed(key: str, text: Column) -> Column:
+    """A keyed hash: the key goes in before and after an inner one."""
+    inner = F.sha2(F.concat(F.lit(f"{key}|in|"), text), 256)
+    return F.sha2(F.concat(F.lit(f"{key}|out|"), inner), 256)
+
+
 def _number(stream: Column, at: Column) -> Column:
     """A number up to 65,535 for a place."""
     return F.conv(F.substr(stream, F.pmod(at * 4, F.lit(253)).cast("int") + 1, F.lit(4)), 16, 10).cast("int")
@@ -168,8 +182,8 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(places, F.lit(0), lambda a, b: a + F.coalesce(b, F.lit(0)))
 
 
-def _surrogate(kind: Column, norm: Column, attempt: Column) -> Column:
-    stream = _stream(kind, norm, attempt.cast("string"))
+def _surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
+    stream = _stream(key, kind, norm, attempt.cast("string"))
     no = F.lit(False)
     like = _like(norm, stream, norm.rlike("^[0-9a-f]+$") & (kind == "secret"))
     domain = F.regexp_extract(norm, r"@(.+)\.[^.]+$", 1)
@@ -192,12 +206,13 @@ def _surrogate(kind: Column, norm: Column, attempt: Column) -> Column:
     )
     for name, names in GIVEN.items():
         # A keyed rotation: given names of the list stay different and never stay themselves.
-        turn = int.from_bytes(f"{KEY}{name}".encode(), "big") % (len(names) - 1) + 1
+        turn = int.from_bytes(f"{key}{name}".encode(), "big") % (len(names) - 1) + 1
         where = F.array_position(F.array(*map(F.lit, names)), norm).cast("int") - 1
         out = out.when(kind == name, F.get(F.array(*map(F.lit, names)), (where + turn) % len(names)))
     for name, syllables in SYLLABLES.items():
         out = out.when(kind == name, F.initcap(_syllables(stream, syllables, attempt)))
-    return out.otherwise(like)
+    letter = _like(norm, stream, no)
+    return out.when(kind == "initial", letter).otherwise(like)
 
 
 def _syllables(stream: Column, syllables: list[str], attempt: Column) -> Column:
@@ -210,26 +225,59 @@ def _syllables(stream: Column, syllables: list[str], attempt: Column) -> Column:
     return F.array_join(drawn, "")
 
 
-def surrogates(parts: DataFrame) -> DataFrame:
+def surrogates(parts: DataFrame, key: str = KEY) -> DataFrame:
     """``kind, norm`` -> the distinct ones with ``surrogate``, all different within a kind
-    and none equal to a ``norm`` of that kind, but for the rotated given names.
+    and none equal to its own ``norm``.
 
-    Each round draws again for those that collide; the first by attempt and text keeps a
-    surrogate that several have drawn.
+    Nor to another one of that kind, as long as draws succeed: each round draws again for
+    those that collide; the first by attempt and text keeps a surrogate that several have
+    drawn. What still collides after ROUNDS draws is of a shape whose forms are nearly all
+    taken; these change places in a keyed order, within the shape. The lists of given
+    names are turned instead, and initials, which are no identity, are drawn once.
     """
     made = lambda df: written(
-        df.withColumn("surrogate", _surrogate(F.col("kind"), F.col("norm"), F.col("attempt"))), "pii-surrogates"
+        df.withColumn("surrogate", _surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "pii-surrogates"
     )
+    free = F.col("kind").startswith("given") | (F.col("kind") == "initial")
     now = made(parts.select("kind", "norm").distinct().withColumn("attempt", F.lit(0)))
     originals = now.select("kind", F.col("norm").alias("surrogate"), F.lit(True).alias("exists"))
-    while True:
+    for left in reversed(range(ROUNDS)):
         turn = F.row_number().over(W.partitionBy("kind", "surrogate").orderBy("attempt", "norm"))
         seen = now.withColumn("turn", turn).join(originals, ["kind", "surrogate"], "left")
-        clash = (F.col("turn") > 1) | (F.col("exists") & ~F.col("kind").startswith("given"))
-        seen = seen.select("kind", "norm", "attempt", F.coalesce(clash, F.lit(False)).alias("clash"))
+        clash = ~free & ((F.col("turn") > 1) | F.coalesce("exists", F.lit(False)))
+        seen = seen.select("kind", "norm", "attempt", "surrogate", clash.alias("clash"))
         if seen.filter("clash").isEmpty():
             return now.select("kind", "norm", "surrogate")
-        now = made(seen.select("kind", "norm", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt")))
+        if left:
+            now = made(seen.select("kind", "norm", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt")))
+    seen = written(seen, "pii-surrogates")
+    return seen.filter("NOT clash").select("kind", "norm", "surrogate").unionByName(
+        _exchanged(seen.filter("clash").select("kind", "norm"), key)
+    )
+
+
+def _exchanged(left: DataFrame, key: str) -> DataFrame:
+    """Each entity gets the next one's text, in a keyed order round the entities of its shape.
+
+    One that is alone with its shape goes round with the others that are alone in its kind,
+    and one that is alone there gets its keyed hash.
+    """
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace("norm", r"\d", "9"), r"\p{Lu}", "A"), r"\p{Ll}", "a")
+    order = _keyed(key, F.concat_ws("|", "kind", "norm"))
+
+    def round_of(rows: DataFrame, *group: str) -> DataFrame:
+        own = W.partitionBy(*group).orderBy("_order", "norm")
+        return rows.withColumns({
+            "_next": F.coalesce(F.lead("norm").over(own), F.first("norm").over(own)),
+            "_many": F.count(F.lit(1)).over(W.partitionBy(*group)),
+        })
+
+    rows = round_of(left.withColumns({"_shape": shape, "_order": order}), "kind", "_shape")
+    alone = round_of(rows.filter("_many = 1").drop("_next", "_many"), "kind")
+    own = F.when(F.col("_many") > 1, F.col("_next")).otherwise(F.substring("_order", 1, 24))
+    return rows.filter("_many > 1").select("kind", "norm", F.col("_next").alias("surrogate")).unionByName(
+        alone.select("kind", "norm", own.alias("surrogate"))
+    )
 
 
 def _written_like(entity: Column, surrogate: Column, kind: Column) -> Column:
@@ -255,17 +303,18 @@ def _replaced(entity: Column, known: Column) -> Column:
     )
 
 
-def replace_pii(docs: DataFrame) -> DataFrame:
-    """The documents with their own columns, ``text`` with surrogates.
+def replace_pii(docs: DataFrame, key: str = KEY) -> DataFrame:
+    """The documents with their own columns, ``text`` with surrogates drawn by ``key``, which
+    should be a secret of the corpus.
 
     A null text stays null and a text without personal data stays as it is. Equal rows get
     equal texts; ids may be null or repeat. ``n_chars``, where it is a column, is set to the
     new length of a text that changed. An empty table gives no rows.
     """
-    return _with_surrogates(docs).drop("_pii_count")
+    return _with_surrogates(docs, key).drop("_pii_count")
 
 
-def _with_surrogates(docs: DataFrame) -> DataFrame:
+def _with_surrogates(docs: DataFrame, key: str = KEY) -> DataFrame:
     row = F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.lit(1))
     hit = docs.withColumn("_pii_pieces", F.split(_marked(F.col("text")), MARK))
     found = hit.filter(F.size("_pii_pieces") > 1).select(
@@ -275,7 +324,7 @@ def _with_surrogates(docs: DataFrame) -> DataFrame:
         )))).alias("part"),
     ).select("_pii_row", "part.kind", "part.norm").distinct()
     found = written(found, "pii-found")
-    table = surrogates(found)
+    table = surrogates(found, key)
     known = found.join(table, ["kind", "norm"]).groupBy("_pii_row").agg(F.map_from_entries(F.collect_list(
         F.struct(F.concat("kind", F.lit("|"), "norm"), "surrogate")
     )).alias("_pii_known"))

@@ -223,6 +223,30 @@ def test_pii_surrogates_stay_different(spark):
     assert len({r.surrogate for r in rows}) == 3000 and not {r.surrogate for r in rows} & {x for _, x in ips}
 
 
+def test_pii_surrogates_of_a_full_shape(spark):
+    """All addresses of a shape exist, and one of another shape: rounds end, all stay different."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    full = [("email", f"{x}@{y}.io") for x in letters for y in letters] + [("email", "someone@example.org"), ("ssn", "900-11-2222")]
+    rows = pii.surrogates(spark.createDataFrame(full, "kind string, norm string")).collect()
+    assert {(r.kind, r.norm) for r in rows} == set(full) and len({r.surrogate for r in rows}) == len(full)
+    assert all(r.surrogate != r.norm for r in rows)
+    assert all(re.fullmatch("[a-z]@[a-z].io", r.surrogate) for r in rows if r.norm.endswith(".io"))
+    alone = pii._exchanged(spark.createDataFrame([("ip", "1.2.3.4"), ("ssn", "1"), ("ssn", "22")], "kind string, norm string"), "k")
+    assert {(r.norm, r.surrogate) for r in alone.collect()} >= {("1", "22"), ("22", "1")}
+
+
+def test_pii_names_with_initials_and_second_names(spark):
+    texts = [(1, "We met John F. Kennedy there."), (2, "Mary Jane Watson called Peter Miller."), (3, "Kennedy and Watson are back."),
+             (4, "Write to John F. Kennedy now.")]
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.replace_pii(table).collect()}
+    assert "Kennedy" not in out[1] and re.fullmatch(r"We met \w+ [A-Z]\. \w+ there\.", out[1])
+    assert not re.search("Mary|Jane|Watson|Peter|Miller", out[2])
+    assert out[1].split()[2:5] == out[4].split()[2:5] and out[3] == texts[2][1]
+    other = {r.doc_id: r.text for r in pii.replace_pii(table, key="another secret").collect()}
+    assert other[2] != out[2]
+
+
 def test_sentence_spans(spark, documents, awkward, empty):
     first, covered, pieces = {}, collections.defaultdict(set), {}
     for r in documents.orderBy("doc_id").collect():
@@ -241,6 +265,17 @@ def test_sentence_spans(spark, documents, awkward, empty):
     assert out[1].endswith("word59") and "word30" not in out[2] and out[2].startswith("Other.") and out[2].endswith("End here.")
 
 
+def test_sentence_spans_of_rows_that_share_an_id(spark):
+    """A row loses what it repeats, never what another row of its id repeats."""
+    passage = " ".join(f"Shared sentence number {i} has these words." for i in range(5))
+    own = " ".join(f"Own sentence number {i} has other words." for i in range(5))
+    rows = [(1, passage), (7, passage), (7, own), (7, own), (None, passage)]
+    found = sentence_spans.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert collections.Counter((r.doc_id, r.text) for r in found.collect()) == {
+        (1, passage): 1, (7, ""): 1, (7, own): 2, (None, passage): 1,
+    }
+
+
 def test_sentence_spans_of_spliced_passages(spark):
     """Passages of 51 to 60 words inside running text, at another offset in each document."""
     rng = np.random.default_rng(6)
