@@ -12,11 +12,13 @@ The model is about 1 MB whatever the corpus is, so it travels as a broadcast var
 from __future__ import annotations
 
 import base64
+import ctypes
 import gc
 import hashlib
 import struct
 from array import array
 from collections.abc import Iterable, Iterator, Sequence
+from functools import cached_property
 from itertools import islice
 
 import numpy as np
@@ -93,16 +95,27 @@ class Codec:
     """The model of one worker with the ids of the matches it has seen."""
 
     def __init__(self, model: bytes, tokens: list[bytes], cut: str):
-        import regex
-        import sentencepiece
-
-        self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.tokens = tokens
-        self.pattern = regex.compile(cut)
-        self.whole = {t: i for i, t in enumerate(tokens)}
+        self.model, self.tokens, self.cut = model, tokens, cut
         self.chars = {b: FIRST_CHAR + b for b in range(256)}
         self.seen: dict[str, bytes] = {}  # ids as 32-bit integers, which takes little memory
 
+    @cached_property
+    def processor(self):
+        """Loaded by the first text; a worker that only decodes does without."""
+        import sentencepiece
+
+        return sentencepiece.SentencePieceProcessor(model_proto=self.model)
+
+    @cached_property
+    def pattern(self):
+        import regex
+
+        return regex.compile(self.cut)
+
+    @cached_property
+    def whole(self) -> dict[bytes, int]:
+        return {t: i for i, t in enumerate(self.tokens)}
+
     def _learn(self, matches: set[str]) -> None:
         """Ids of all these matches: those not yet known are encoded in one call."""
         new = matches - self.seen.keys()
@@ -166,6 +179,14 @@ def _codec(shared) -> Codec:
     return _codecs[name]
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: workers outlive their task, beside the next one's JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 class ByteBpe:
     """Column functions of one vocabulary.
 
@@ -186,17 +207,22 @@ class ByteBpe:
         def encode(texts: pa.Array) -> pa.Array:
             codec = _codec(shared)
             gc.disable()  # nothing here is cyclic, and the cache is long to walk
-            ids = codec.encode_all([t or "" for t in texts.to_pylist()])
-            gc.enable()
+            try:
+                ids = codec.encode_all([t or "" for t in texts.to_pylist()])
+            finally:
+                gc.enable()
+            _give_back()
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
 
         @F.arrow_udf(T.BinaryType())
         def decode(lists: pa.Array) -> pa.Array:
             codec = _codec(shared)
-            return pa.array(
+            out = pa.array(
                 [codec.decode(x.values) if x.is_valid else None for x in lists], pa.binary()
             )
+            _give_back()
+            return out
 
         @F.arrow_udf(T.StringType())
         def digest(lists: pa.Array) -> pa.Array:
