@@ -34,7 +34,7 @@ DEPTH = 4  # words of the longest candidate
 TOP = 2_000
 SHARE = 80  # percent of a phrase's occurrences inside one longer candidate
 BUDGET = 1_000_000  # suffixes that a task holds at once
-BLOCK = 6_000_000  # bytes of text that are turned into subtrees at once
+BLOCK = 10_000_000  # bytes of text that are turned into subtrees at once
 BITS = 25  # the bitmap of words has 2 ** BITS bits, 4 MB
 OTHER = "und"  # language of documents without one
 
@@ -275,20 +275,20 @@ def _subtrees(words: bytes, pairs: bytes | None, groups: Groups, least: int, mos
                 mine = np.flatnonzero(length == size)
                 if not len(mine):
                     continue
-                mine = mine[np.argsort(codes[size - 1][mine])]  # equal prefixes together
+                # an extended prefix shares its row with the others of its beginning and group
+                shown = max(size - 1, 1)
+                row = codes[shown - 1][mine].astype(np.int64) * groups.groups + group[mine]
+                order = np.argsort(row)
+                mine, row = mine[order], row[order]
                 own = rows[mine]
-                new = np.ones(len(own), bool)
-                new[1:] = (own[1:, :size] != own[:-1, :size]).any(1)
-                first = np.flatnonzero(new)
+                first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
                 ends = pa.array(np.append(first, len(own)).astype(np.int32))
-                tails = block.joined(own[:, size:]) if size < DEPTH else pa.array([""] * len(own), pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(group[mine][first]), pa.array(np.full(len(first), size, np.int32)),
-                        block.langs.take(pa.array(own[first, 0] - 1)),
-                        block.joined(own[first, :size]),
-                        pc.binary_join(pa.ListArray.from_arrays(ends, tails), "\n"),
-                        pa.ListArray.from_arrays(ends, pa.array(counts[mine].astype(np.int64))),
+                        block.langs.take(pa.array(own[first, 0] - 1)), block.joined(own[first, :shown]),
+                        pc.binary_join(pa.ListArray.from_arrays(ends, block.joined(own[:, shown:])), "\n"),
+                        pa.ListArray.from_arrays(ends, pa.array(counts[mine].astype(np.int32))),
                     ],
                     ["group", "size", "lang", "prefix", "tails", "counts"],
                 )
@@ -296,8 +296,9 @@ def _subtrees(words: bytes, pairs: bytes | None, groups: Groups, least: int, mos
     return made
 
 
-#: ``size`` is the length of the prefixes of that group; a suffix that ends earlier has fewer words.
-SUBTREES = "group int, size int, lang string, prefix string, tails string, counts array<long>"
+#: ``size`` is the length of the prefixes that choose the group; ``prefix`` is the part of them
+#: that all tails of a row share, and a suffix that ends earlier has fewer words than ``size``.
+SUBTREES = "group int, size int, lang string, prefix string, tails string, counts array<int>"
 
 
 def _columns(tree: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, pa.Array]:
@@ -328,7 +329,7 @@ def _columns(tree: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Arr
         rows[rows == empty] = -1
     lang = tree["lang"].combine_chunks().dictionary_encode()
     rows[:, 0] += lang.indices.to_numpy().astype(np.int64)[of_row] * len(spelled.dictionary)
-    counts = tree["counts"].combine_chunks().flatten().to_numpy()
+    counts = tree["counts"].combine_chunks().flatten().to_numpy().astype(np.int64)
     return rows, tree["size"].to_numpy()[of_row], counts, spelled.dictionary, lang.dictionary
 
 
