@@ -8,7 +8,8 @@ from checks import oracles as O
 from checks import queries as Q
 from checks import views as V
 from orgkin import refdata as R
-from orgkin.operators import blocking, merged, ownership, screening, search
+from orgkin.operators import blocking, merge, merged, ownership, screening, search, snapshots
+from orgkin.session import scratch_dir
 from orgkin.sources import watchlist
 
 
@@ -76,6 +77,41 @@ ranked AS (SELECT r.*, coalesce(cluster, r.lei) AS cluster, {_RANK} AS rank
   FROM records r LEFT JOIN members m ON m.lei = r.lei)"""
 
 
+# --- versions and pages -------------------------------------------------------------------
+def sink_b4_bucketed_upsert(spark, sf):
+    """The upsert as two versions of a bucketed snapshot, read back."""
+    before, load = Q._upsert_inputs(spark, sf)
+    first = snapshots.create_snapshot(before, scratch_dir(spark, "snapshot"), "lei")
+    rows = load.filter(merge.real_key())
+    after = snapshots.upsert_snapshot(
+        first, rows, "lei", lambda stored, new: merge.upsert_entities(stored, new, Q.AS_OF)
+    )
+    return Q._addresses(snapshots.open_snapshot(spark, first.path, after.version).read())
+
+
+def _third_page(table, limit, where=None):
+    cursor = None
+    for _ in range(3):
+        page, cursor = table.page(limit, cursor, where)
+    return page
+
+
+def search_h1_keyset_page(spark, sf):
+    """The third page of active companies, each page by the cursor of the one before."""
+    table = snapshots.write_ordered(
+        Q.stored(spark, sf), scratch_dir(spark, "ordered"), [F.col("legal_name"), F.col("lei")], 16
+    )
+    return Q._addresses(_third_page(table, 40, F.col("entity_status") == "ACTIVE").drop("updated_at"))
+
+
+def search_h2_keyset_page(spark, sf):
+    """The third page of matches, best first."""
+    table = snapshots.write_ordered(
+        Q.matches(spark, sf), scratch_dir(spark, "ordered"), [-F.col("final_score"), F.col("id")], 16
+    )
+    return Q._codes(_third_page(table, 200))
+
+
 # --- blocking ------------------------------------------------------------------------------
 def er_x7_blocked_pairs(spark, sf):
     return blocking.blocked(Q.clean(spark, sf))[0]
@@ -199,7 +235,13 @@ def linkage_oracles() -> dict[str, str]:
     def full(ctes: str, select: str) -> str:
         return f"WITH RECURSIVE {ctes}\n{select}"
 
+    have = O.base_oracles()
     return {
+        "sink_b4_bucketed_upsert": have["sink_b4_upsert_entities"],
+        "search_h1_keyset_page": full(f"{O.BASE},\n{O.STORED}", f"""SELECT {O.STORED_COLUMNS} FROM stored
+  WHERE entity_status = 'ACTIVE' ORDER BY legal_name, lei LIMIT 40 OFFSET 80"""),
+        "search_h2_keyset_page": full(O.MATCHES, f"""SELECT {O.MATCH_COLUMNS} FROM matches
+  ORDER BY final_score DESC, id LIMIT 200 OFFSET 400"""),
         "graph_x2_ultimate_parents": full(CHAINS, "SELECT * FROM parents"),
         "graph_x2_control_groups": full(CHAINS, """SELECT ultimate_parent, count(*) AS companies, max(depth) AS deepest
   FROM parents WHERE ultimate_parent IS NOT NULL GROUP BY 1"""),

@@ -445,7 +445,7 @@ STORED_COLUMNS = (
 )
 
 
-def all_oracles() -> dict[str, str]:
+def base_oracles() -> dict[str, str]:
     o: dict[str, str] = {}
 
     def add(key: str, ctes: str, select: str) -> None:
@@ -720,6 +720,10 @@ def all_oracles() -> dict[str, str]:
       WHERE length(said) > 3 AND contains({words}, ' ' || said || ' ')) AS parsed_country,
       CASE {said} END AS parsed_entity_status,
       nullif(regexp_extract(text, '{place}', 1), '') AS parsed_jurisdiction FROM asked""")
+    return o
+
+
+def all_oracles() -> dict[str, str]:
     from checks.linkage import linkage_oracles
 
-    return o | linkage_oracles()
+    return base_oracles() | linkage_oracles()
