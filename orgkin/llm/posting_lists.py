@@ -34,21 +34,58 @@ READ_RATIO = 1.1  # a query reads lists up to this times its nearest centroid's
 READ_LEAST = 12
 BLOCK = 4_096  # vectors of a list that are scored together
 STEP = 512  # queries that are scored together
+HELD = 2_000_000  # neighbours that a task holds before it passes some on
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id, v``: vectors with finite components that are not all zero, of the commonest
-    length; the others take no part."""
+def _finite(vectors: DataFrame) -> DataFrame:
+    """``vec_id, v``: vectors with an id and finite components that are not all zero."""
     v = F.col("v")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
-    good = rows.filter(
+    return rows.filter(
         F.col("vec_id").isNotNull() & v.isNotNull() & F.exists(v, lambda x: x != 0)
         & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     )
+
+
+def usable(vectors: DataFrame) -> DataFrame:
+    """``vec_id, v``: vectors with finite components that are not all zero, of the commonest
+    length; the others take no part."""
+    good = _finite(vectors)
     length = good.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     return good.filter(F.size("v") == (length.d if length else 0))
 
 
+class _Best:
+    """The best ``k`` neighbours of each query among those that a task has met."""
+
+    def __init__(self, k: int):
+        self.k, self.held, self.n = k, [], 0
+
+    def add(self, *columns: np.ndarray) -> None:
+        self.held.append(columns)
+        self.n += len(columns[0])
+
+    def cut(self) -> None:
+        if not self.held:
+            return
+        q, first, score = (np.concatenate(c) for c in zip(*self.held, strict=True))
+        order = np.lexsort((first, -score, q))
+        q, first, score = q[order], first[order], score[order]
+        # a vector that stands in several lists is met several times
+        new = np.append(True, (q[1:] != q[:-1]) | (first[1:] != first[:-1]))
+        q, first, score = q[new], first[new], score[new]
+        starts = np.flatnonzero(np.append(True, q[1:] != q[:-1]))
+        place = np.arange(len(q)) - np.repeat(starts, np.diff(np.append(starts, len(q))))
+        kept = place < self.k
+        self.held, self.n = [(q[kept], first[kept], score[kept])], int(kept.sum())
+
+    def out(self) -> list[pa.RecordBatch]:
+        held, self.held, self.n = self.held, [], 0
+        return [
+            pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["q", "first", "score"]) for columns in held
+        ]
+
+
 def _halved(x: np.ndarray, lists: int, rng) -> list[np.ndarray]:
     """Row numbers of ``lists`` parts of nearly equal size (a power of two of them)."""
     parts = [np.arange(len(x))]
@@ -176,8 +213,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     """
     spark = vectors.sparkSession
     base = written(usable(vectors).distinct(), "ann-vectors")
-    asked = queries.select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").cast("array<double>").alias("v"))
-    asked = asked.join(base.select("v").distinct(), "v", "left_semi") if queries is vectors else asked
+    length = base.select(F.size("v").alias("d")).first()
+    asked = _finite(queries).filter(F.size("v") == (length.d if length else 0)).withColumnRenamed("vec_id", "query_id")
     groups = written(base.groupBy("v").agg(F.min("vec_id").alias("first")), "ann-distinct")
     fitted = fit(groups)
     if fitted is None:
@@ -215,6 +252,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     )
 
     def scored(batches):
+        best = _Best(k + 1)
         for group in runs_of(batches, "list", "block"):
             asks = group.column("asks").to_numpy(zero_copy_only=False)
             ids = group.column("id").to_numpy()
@@ -225,13 +263,16 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
             for at in range(0, len(mine), STEP):
                 q = mine[at: at + STEP]
                 s = x[q] @ x[points].T
-                best = np.argpartition(-s, min(k, len(points) - 1), 1)[:, : k + 1]
-                row = np.repeat(np.arange(len(q)), best.shape[1])
-                col = best.ravel()
-                exact = (x[q][row] * x[points][col]).sum(1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[q][row]), pa.array(ids[points][col]), pa.array(exact)], ["q", "first", "score"]
-                )
+                top = np.argpartition(-s, min(k, len(points) - 1), 1)[:, : k + 1]
+                row = np.repeat(np.arange(len(q)), top.shape[1])
+                col = top.ravel()
+                best.add(ids[q][row], ids[points][col], (x[q][row] * x[points][col]).sum(1))
+                if best.n > HELD:
+                    best.cut()
+                    if 2 * best.n > HELD:  # of many queries
+                        yield from best.out()
+        best.cut()
+        yield from best.out()
 
     dealt = left.unionByName(right).repartition("list", "block").sortWithinPartitions("list", "block")
     hits = dealt.mapInArrow(scored, "q long, first long, score double").distinct()

@@ -381,6 +381,25 @@ def test_posting_lists_awkward_vectors(spark):
     assert posting_lists.nearest(table.limit(0), table).count() == 0
 
 
+def test_posting_lists_clean_queries_of_their_own(spark):
+    rng = np.random.default_rng(3)
+    table = spark.createDataFrame([(i, [float(c) for c in v], "x") for i, v in enumerate(rng.normal(size=(60, 4)))], "vec_id long, embedding array<double>, score string")
+    asks = spark.createDataFrame(
+        [(1, None), (2, []), (3, [0.0] * 4), (4, [1.0] * 3), (5, [float("nan")] * 4), (None, [1.0] * 4), (7, [1.0, 0.0, 0.0, 0.0])],
+        "vec_id long, embedding array<double>")
+    found = posting_lists.nearest(table, asks, 5).collect()
+    assert {r.query_id for r in found} == {7} and [r.rank for r in sorted(found, key=lambda r: r.rank)] == [1, 2, 3, 4, 5]
+
+
+def test_best_neighbours_are_kept_once():
+    best = posting_lists._Best(2)
+    best.add(np.array([1, 1, 2]), np.array([5, 6, 5]), np.array([0.5, 0.9, 0.1]))
+    best.add(np.array([1, 1, 1]), np.array([6, 7, 4]), np.array([0.9, 0.2, 0.5]))
+    best.cut()
+    assert [b.to_pydict() for b in best.out()] == [{"q": [1, 1, 2], "first": [6, 4, 5], "score": [0.9, 0.5, 0.1]}]
+    assert best.out() == []
+
+
 def test_label_model_recovers_accuracies():
     rng = np.random.default_rng(2)
     y = rng.random(20_000) < 0.3
