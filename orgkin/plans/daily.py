@@ -40,10 +40,12 @@ def run_daily(
     relationships: DataFrame | None = None,
     previous: Run | None = None,
     dimensions: int = vectors.DIMENSIONS,
+    copies_in_graph: bool = False,
 ) -> Run:
     """One batch over raw registry rows (with ``ingest_ord``) into a new folder.
 
-    Snapshots of an earlier run are merged into when ``previous`` is given.
+    Snapshots of an earlier run are merged into when ``previous`` is given. With
+    ``copies_in_graph`` the marked copies are nodes too, so matches with them become edges.
     """
     run = Run(folder)
 
@@ -79,7 +81,10 @@ def run_daily(
     stage("vector_index", vectors.upsert_index(
         stored("vector_index", points.limit(0)), clean, embedded), blanks=True)
 
-    nodes = stage("nodes", graph.entity_nodes(clean))
+    companies = graph.entity_nodes(clean)
+    if copies_in_graph:
+        companies = companies.unionByName(graph.company_nodes(dup))
+    nodes = stage("nodes", companies)
     edges = graph.entity_edges(clean).unionByName(graph.match_edges(found, nodes))
     if relationships is not None:
         edges = edges.unionByName(graph.ownership_edges(relationships, nodes))

@@ -425,6 +425,17 @@ def test_daily_batch_twice(spark, tmp_path):
     assert clean.filter(F.col("legal_address_line1").isNotNull()).count() == 0
 
 
+def test_daily_batch_links_copies_if_asked(spark, tmp_path):
+    raw = registry.fallback_registry(spark, 40).withColumns({
+        "ingest_ord": F.col("lei"), "legal_address_line1": F.lit("1 Main Street"), "legal_address_city": F.lit("Dover"),
+    })
+    linked = []
+    for asked in (False, True):
+        run = run_daily(spark, raw, str(tmp_path / str(asked)), AS_OF, "r", 20, dimensions=32, copies_in_graph=asked)
+        linked.append(spark.read.parquet(run.path("edges")).filter("edge_type = 'MATCHED_TO'").count())
+    assert linked[0] == 0 < linked[1] <= 20
+
+
 def test_reads_keep_all_rows_unless_asked(spark):
     import inspect
 
