@@ -237,6 +237,8 @@ def linkage_oracles() -> dict[str, str]:
 
     have = O.base_oracles()
     return {
+        "src_a6_first_rows": f"SELECT * FROM ({have['src_a5_watchlist']}) ORDER BY os_id, os_name LIMIT 40",
+        "src_a8_reused_extract": f"WITH {O.RAW} SELECT lei, ingest_ord FROM raw",
         "sink_b4_bucketed_upsert": have["sink_b4_upsert_entities"],
         "search_h1_keyset_page": full(f"{O.BASE},\n{O.STORED}", f"""SELECT {O.STORED_COLUMNS} FROM stored
   WHERE entity_status = 'ACTIVE' ORDER BY legal_name, lei LIMIT 40 OFFSET 80"""),

@@ -165,6 +165,20 @@ def src_a5_watchlist(spark, sf):
     return watchlist.watchlist_rows(watchlist.parse_lines(lines))
 
 
+def src_a6_first_rows(spark, sf):
+    """The scan with a cap: the first 40 organisations in key order."""
+    lines = V.spark_view(spark, sf, V.WATCHLIST_LINES)
+    return watchlist.watchlist_rows(watchlist.parse_lines(lines), 40)
+
+
+def src_a8_reused_extract(spark, sf):
+    """An extract that is built once and then read, even if it would be built otherwise."""
+    path = f"{scratch_dir(spark, 'extract')}/rows"
+    rows = raw(spark, sf).select("lei", "ingest_ord")
+    tables.read_or_build(spark, path, lambda: rows)
+    return tables.read_or_build(spark, path, lambda: rows.limit(0))
+
+
 def src_a7_corrupt_lines(spark, sf):
     lines = V.spark_view(spark, sf, V.WATCHLIST_LINES)
     return watchlist.corrupt_lines(watchlist.parse_lines(lines))
@@ -551,6 +565,17 @@ def vec_k2_topk_grid(spark, sf):
     return found.select("query_id", F.col("rank").cast("long").alias("rank"), "lei", "score")
 
 
+def vec_k4_text_search(spark, sf):
+    """Search texts become vectors by the model of the index, and find their nearest companies."""
+    rows = clean(spark, sf)
+    model = vectors.fit_embedder(rows, 256)
+    asked = vectors.embed_text(V.spark_view(spark, sf, V.SEARCH_TEXT), model, F.col("text"), "vector")
+    found = vectors.search_batch(
+        vectors.index_rows(rows, vectors.embed(rows, model)), asked.select("query_id", "vector"), 5
+    )
+    return found.select("query_id", F.col("rank").cast("long").alias("rank"), "lei", "score")
+
+
 def vec_k3_parsed_filters(spark, sf):
     """Label centroids with parsed filters: explicit country beats the parsed one."""
     queries = _centroids(spark, sf).withColumns(
