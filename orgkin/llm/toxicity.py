@@ -123,8 +123,10 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     voters = [f"_v{k}" for k in range(LEXICONS)] + ["_v_list", "_v_disguised", "_v_addressed", "_v_many"]
     voted = vote(labelled, F.col("tokens"))
-    everything = vote(_tokenized(rows), F.col("tokens"))
-    patterns, counts, _ = L.pattern_counts(everything, voters)
+    # Everything that later steps need of a text, so that each text is read once.
+    read = L.hashed(vote(_tokenized(rows), F.col("tokens")))
+    read = written(read.select("doc_id", "held_out", *voters, "features"), "toxic-votes")
+    patterns, counts, _ = L.pattern_counts(read, voters)
     mine, _, anchor = L.pattern_counts(voted, voters, F.col("toxic"))
     place = {tuple(p): i for i, p in enumerate(patterns.tolist())}
     known_counts = np.zeros((len(patterns), 2))
@@ -136,8 +138,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         posterior = L.posterior_column(voters, patterns, model.posterior(patterns))
     else:
         posterior = F.lit(0.0)
-    train = voted.select("tokens", posterior.alias("posterior"))
-    result = L.scored(_tokenized(rows).drop("text"), train, SPARSE)
+    train = L.hashed(voted).select("features", posterior.alias("posterior"))
+    result = L.scored_features(read.select("doc_id", "held_out", "features"), train, SPARSE)
     return result.select(
         "doc_id", "held_out", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
     )
