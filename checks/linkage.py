@@ -8,7 +8,9 @@ from checks import oracles as O
 from checks import queries as Q
 from checks import views as V
 from orgkin import refdata as R
-from orgkin.operators import blocking, merge, merged, ownership, screening, search, snapshots
+from orgkin.operators import (
+    addresses, benchmark, blocking, merge, merged, ownership, resolve, screening, search, snapshots,
+)
 from orgkin.session import scratch_dir
 from orgkin.sources import watchlist
 
@@ -227,6 +229,101 @@ screened AS (SELECT lei, os_id, name, dataset, score, max(same) OVER (PARTITION
   QUALIFY row_number() OVER (PARTITION BY lei, os_id ORDER BY score DESC, name, dataset) = 1)"""
 
 
+# --- benchmark ------------------------------------------------------------------------------
+def _benchmark(spark, sf):
+    """Every marked copy against its own company, and against the parent of that company."""
+    fields = ["lei", "legal_name", "normalized_name", "legal_address_line1", "legal_address_city", "country", "jurisdiction"]
+    dup = Q.duplicates(spark, sf)
+    own = dup.select(F.col("origin_lei").alias("lei_a"), F.col("lei").alias("lei_b"))
+    parents = V.spark_view(spark, sf, V.RELATIONSHIPS).select(
+        F.col("parent_lei").alias("lei_a"), F.concat(F.lit(R.SYNTHETIC_PREFIX), "lei").alias("lei_b")
+    )
+    records = Q.clean(spark, sf).select(*fields).unionByName(dup.select(*fields))
+    scored = resolve.score_pairs(resolve.side_rows(own.unionByName(parents), records))
+    mark = resolve.noise_mark([F.col("origin_lei"), F.col("ingest_ord")])
+    kinds = dup.select(F.col("lei").alias("lei_b"), "origin_lei", resolve.noise_kind(mark).alias("noise"))
+    return benchmark.score_histogram(
+        scored.join(kinds, "lei_b"), F.col("lei_a") == F.col("origin_lei"), ["noise"]
+    )
+
+
+def er_x4_histogram(spark, sf):
+    return Q.staged(spark, sf, "benchmark", _benchmark)
+
+
+def er_x4_curve(spark, sf):
+    return benchmark.precision_recall(er_x4_histogram(spark, sf))
+
+
+def er_x4_curve_by_noise(spark, sf):
+    return benchmark.precision_recall(er_x4_histogram(spark, sf), ["noise"])
+
+
+def er_x4_best_lines(spark, sf):
+    return benchmark.best_lines(er_x4_curve_by_noise(spark, sf), ["noise"])
+
+
+def er_x4_by_decision(spark, sf):
+    return benchmark.by_decision(er_x4_histogram(spark, sf), ["noise"])
+
+
+HISTOGRAM = f"""pairs AS (SELECT {O.pair_columns()} FROM dup b JOIN real a ON a.lei = b.origin_lei
+  UNION ALL SELECT {O.pair_columns()} FROM ({V.duck_view(V.RELATIONSHIPS)}) r
+  JOIN dup b ON b.lei = 'SYNTH_' || r.lei JOIN real a ON a.lei = r.parent_lei),
+{O.scored('pairs', vector=False)},
+hist AS (SELECT ([{O.quoted(resolve.NOISE_KINDS)}])[concat('0x', substr(md5(coalesce(origin_lei, '') || ':' || ingest_ord
+    || ':noise99'), 1, 8))::BIGINT % 5 + 1] AS noise, decision,
+  floor(final_score::DECIMAL(10, 4) * 100)::INT AS step, count(*) FILTER (lei_a = origin_lei) AS matches,
+  count(*) FILTER (lei_a <> origin_lei) AS others FROM matches JOIN dup ON dup.lei = lei_b GROUP BY ALL)"""
+
+
+def curve_sql(by: str) -> str:
+    """CTE ``curve``: every line against every step of its group."""
+    return f"""steps AS (SELECT {by} AS noise, step, sum(matches) AS m, sum(others) AS o FROM hist GROUP BY ALL),
+found AS (SELECT a.noise, a.step, sum(b.m) FILTER (b.step >= a.step) AS tp, sum(b.o) FILTER (b.step >= a.step) AS fp,
+  sum(b.m) FILTER (b.step < a.step) AS below FROM steps a JOIN steps b ON b.noise = a.noise GROUP BY 1, 2),
+curve AS (SELECT noise, step::DOUBLE / 100 AS threshold, tp::BIGINT AS tp, fp::BIGINT AS fp, coalesce(below, 0)::BIGINT AS fn,
+  tp::DOUBLE / (tp + fp)::DOUBLE AS precision, tp::DOUBLE / (tp + coalesce(below, 0))::DOUBLE AS recall,
+  (2 * tp)::DOUBLE / (2 * tp + fp + coalesce(below, 0))::DOUBLE AS f1 FROM found)"""
+
+
+# --- addresses -------------------------------------------------------------------------------
+SMALL_HUB = 3  # so that small tables have hubs
+
+
+def _at_address(spark, sf):
+    return addresses.address_members(Q.clean(spark, sf))
+
+
+def graph_x6_address_nodes(spark, sf):
+    return addresses.address_nodes(Q.clean(spark, sf))
+
+
+def graph_x6_address_edges(spark, sf):
+    return addresses.address_edges(Q.clean(spark, sf))
+
+
+def graph_x6_co_located(spark, sf):
+    return addresses.co_located(_at_address(spark, sf), SMALL_HUB)
+
+
+def graph_x6_hub_members(spark, sf):
+    return addresses.hub_members(_at_address(spark, sf), SMALL_HUB)
+
+
+def graph_x6_sharing(spark, sf):
+    return addresses.sharing(_at_address(spark, sf), SMALL_HUB)
+
+
+ADDRESSES = "said AS (" + " UNION ALL ".join(
+    f"SELECT lei, '{kind}' AS edge_type, concat_ws(' ', {', '.join(parts)}) AS text FROM real WHERE lei IS NOT NULL AND {parts[0]} <> ''"
+    for kind, parts in addresses.PARTS.items()
+) + f"""),
+plain AS (SELECT lei, edge_type, trim(regexp_replace(upper({O.fold('text')}), '[^A-Z0-9]+', ' ', 'g')) AS label FROM said),
+addresses AS (SELECT DISTINCT lei, edge_type, sha256(label) AS address_id, label FROM plain WHERE label <> ''),
+members AS (SELECT *, count(*) OVER (PARTITION BY address_id) AS companies FROM (SELECT DISTINCT address_id, lei FROM addresses))"""
+
+
 def linkage_queries():
     return {n: f for n, f in globals().items() if n.startswith(Q.PREFIXES) and callable(f)}
 
@@ -257,6 +354,22 @@ def linkage_oracles() -> dict[str, str]:
         "search_x5_by_alias": full(f"{O.BASE},\n{ALIASES},\n{O.STORED}", """SELECT s.lei, legal_name, min(alias) AS alias
   FROM stored s JOIN aliases a ON a.lei = s.lei WHERE alias ILIKE '%foods 1%' OR normalized_alias ILIKE '%foods 1%'
   GROUP BY ALL"""),
+        "er_x4_histogram": full(f"{O.BASE},\n{O.DUP},\n{HISTOGRAM}", "SELECT * FROM hist"),
+        "er_x4_curve": full(f"{O.BASE},\n{O.DUP},\n{HISTOGRAM},\n" + curve_sql("''"), "SELECT * EXCLUDE (noise) FROM curve"),
+        "er_x4_curve_by_noise": full(f"{O.BASE},\n{O.DUP},\n{HISTOGRAM},\n" + curve_sql("noise"), "SELECT * FROM curve"),
+        "er_x4_best_lines": full(f"{O.BASE},\n{O.DUP},\n{HISTOGRAM},\n" + curve_sql("noise"), """SELECT * FROM curve
+  QUALIFY row_number() OVER (PARTITION BY noise ORDER BY f1 DESC, threshold DESC) = 1"""),
+        "er_x4_by_decision": full(f"{O.BASE},\n{O.DUP},\n{HISTOGRAM}", """SELECT noise, decision, sum(matches)::BIGINT AS matches,
+  sum(others)::BIGINT AS others, sum(matches)::DOUBLE / (sum(matches) + sum(others))::DOUBLE AS precision FROM hist GROUP BY 1, 2"""),
+        "graph_x6_address_nodes": full(f"{O.BASE},\n{ADDRESSES}",
+            "SELECT DISTINCT 'Address' AS node_type, address_id AS id, label FROM addresses"),
+        "graph_x6_address_edges": full(f"{O.BASE},\n{ADDRESSES}", """SELECT lei AS src, address_id AS dst, edge_type, 'Company' AS src_type,
+  'Address' AS dst_type, NULL::DOUBLE AS final_score, NULL::VARCHAR AS decision FROM addresses"""),
+        "graph_x6_co_located": full(f"{O.BASE},\n{ADDRESSES}", f"""SELECT a.lei AS lei_a, b.lei AS lei_b, count(*) AS addresses
+  FROM members a JOIN members b USING (address_id) WHERE a.lei < b.lei AND a.companies <= {SMALL_HUB} GROUP BY 1, 2"""),
+        "graph_x6_hub_members": full(f"{O.BASE},\n{ADDRESSES}", f"SELECT * FROM members WHERE companies > {SMALL_HUB}"),
+        "graph_x6_sharing": full(f"{O.BASE},\n{ADDRESSES}", f"""SELECT lei, count(*) AS addresses,
+  count(*) FILTER (companies > {SMALL_HUB}) AS hubs, sum(companies - 1)::BIGINT AS others FROM members GROUP BY 1"""),
         "er_x1_screening": full(f"{O.BASE},\n{SCREENED}", "SELECT * FROM screened"),
         "report_x1_risk_lines": full(f"{O.BASE},\n{SCREENED}", f"""SELECT lei, 3 AS section, name || ':' || dataset AS pos,
   name || ':' || dataset AS ref, name || ' (' || dataset || ', confidence: ' || printf('%.2f', {O.rounded('score', 2)}) || ')' AS line FROM screened"""),

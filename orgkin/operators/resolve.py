@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ _SIDE = (
     "lei", "legal_name", "normalized_name", "legal_address_line1", "legal_address_city",
     "country", "jurisdiction",
 )
+NOISE_KINDS = ("suffix", "abbreviation", "typo", "case", "punctuation")
 
 
 def _draw(digest: Column, at: int) -> Column:
@@ -31,6 +33,19 @@ def _replace_first(name: Column, word: str, by: Column) -> Column:
     )
 
 
+def noise_mark(identity: Sequence[Column], seed: int = R.DUPLICATE_SEED) -> Column:
+    """What the noise of a row is drawn from."""
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in identity]
+    return F.concat_ws(":", *parts, F.lit(f"noise{seed}"))
+
+
+def noise_kind(mark: Column) -> Column:
+    """The kind of noise drawn for a mark; a name it does not apply to got the fallback."""
+    return F.element_at(
+        F.array(*[F.lit(k) for k in NOISE_KINDS]), (_draw(F.md5(mark), 1) % 5 + 1).cast("int")
+    )
+
+
 def noisy_name(name: Column | str, identity: Column) -> Column:
     """One of five kinds of noise, chosen by a hash of ``identity``.
 
@@ -91,8 +106,7 @@ def labelled_duplicates(
     if first_by is not None:
         named = first_per_key(named, ["lei"], F.asc_nulls_last(first_by))
     rows = named if n is None else exact_sample(named, n, seed, identity)
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in identity]
-    mark = F.concat_ws(":", *parts, F.lit(f"noise{seed}"))
+    mark = noise_mark([F.col(c) for c in identity], seed)
     return rows.withColumns(
         {
             "legal_name": noisy_name("legal_name", mark),
@@ -201,11 +215,16 @@ def compare(
         F.col("legal_address.city").alias("legal_address_city"),
         "country", "jurisdiction",
     )
+    return score_pairs(side_rows(pairs, flat), as_of)
+
+
+def side_rows(pairs: DataFrame, entities: DataFrame) -> DataFrame:
+    """Chosen (lei_a, lei_b) pairs with both records, one per lei, as a_/b_ columns."""
     rows = pairs.select(F.col("lei_a").alias("a_lei"), F.col("lei_b").alias("b_lei"))
     for side in ("a", "b"):
-        look = flat.select(*[F.col(c).alias(f"{side}_{c}") for c in _SIDE])
+        look = entities.select(*[F.col(c).alias(f"{side}_{c}") for c in _SIDE])
         rows = keyed_join(rows, look, f"{side}_lei")
-    return score_pairs(rows, as_of)
+    return rows
 
 
 def unknown_keys(pairs: DataFrame, stored: DataFrame) -> DataFrame:
