@@ -725,5 +725,6 @@ def base_oracles() -> dict[str, str]:
 
 def all_oracles() -> dict[str, str]:
     from checks.linkage import linkage_oracles
+    from checks.nearby import nearby_oracles
 
-    return base_oracles() | linkage_oracles()
+    return base_oracles() | linkage_oracles() | nearby_oracles()

@@ -677,6 +677,7 @@ PREFIXES = ("src_", "norm_", "dq_", "sink_", "er_", "search_", "vec_", "graph_",
 
 def all_queries():
     from checks.linkage import linkage_queries
+    from checks.nearby import nearby_queries
 
     own = {n: f for n, f in globals().items() if n.startswith(PREFIXES) and callable(f)}
-    return own | linkage_queries()
+    return own | linkage_queries() | nearby_queries()

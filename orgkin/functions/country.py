@@ -11,7 +11,7 @@ from orgkin.functions.text import _col, ascii_fold, literal_map, strip
 from orgkin.refdata import COUNTRY_ALIASES, iso_countries
 
 
-def _name_key(c: Column) -> Column:
+def country_key(c: Column) -> Column:
     """Upper-case ASCII words, '&' read as AND, other punctuation and a leading THE ignored."""
     x = F.regexp_replace(F.upper(ascii_fold(c)), "['`\u2019]", "")
     x = F.regexp_replace(x, "&", " AND ")
@@ -42,12 +42,18 @@ def normalize_country(c: Column | str) -> Column:
     The lookup tables are literals of fixed size, so no join enters the plan.
     Null becomes ''.
     """
+    code = F.upper(strip(F.coalesce(_col(c), F.lit(""))))
+    return F.coalesce(known_country(c), F.substring(code, 1, 2))
+
+
+def known_country(c: Column | str) -> Column:
+    """The same, but null where only the first two characters would be left."""
     alpha3, names = _lookups()
     code = F.upper(strip(F.coalesce(_col(c), F.lit(""))))
-    key = _name_key(code)
+    key = country_key(code)
     two_parts = F.contains(code, F.lit(","))
-    before = _name_key(F.substring_index(code, ",", 1))
-    swapped = _name_key(F.regexp_replace(code, r"^([^,]*),(.*)$", "$2 $1"))
+    before = country_key(F.substring_index(code, ",", 1))
+    swapped = country_key(F.regexp_replace(code, r"^([^,]*),(.*)$", "$2 $1"))
     by_name = literal_map(names)
     starts = F.array_distinct(
         F.transform(
@@ -65,15 +71,19 @@ def normalize_country(c: Column | str) -> Column:
             F.when(two_parts, F.try_element_at(by_name, swapped)),
             F.when(two_parts, F.try_element_at(by_name, before)),
             by_prefix,
-            F.substring(code, 1, 2),
         )
     )
 
 
+def country_names() -> list[tuple[str, str]]:
+    """(code, key) of every country name and alias, a few hundred of them."""
+    return [(code, key) for key, code in _lookups()[1].items()]
+
+
 def country_in_text(c: Column | str) -> Column:
     """Code of the longest country name or alias that occurs as whole words, or null."""
     _, names = _lookups()
     ordered = sorted(names.items(), key=lambda item: (-len(item[0]), item[0]))
     rows = F.map_entries(literal_map({f" {n} ": code for n, code in ordered}))
-    text = F.concat(F.lit(" "), _name_key(_col(c)), F.lit(" "))
+    text = F.concat(F.lit(" "), country_key(_col(c)), F.lit(" "))
     return F.try_element_at(F.filter(rows, lambda r: F.contains(text, r["key"])), F.lit(1))["value"]
