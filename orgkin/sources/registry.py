@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from orgkin import refdata as R
 from orgkin import schemas
 from orgkin.operators.keyed import exact_sample
+from orgkin.sources.split_csv import scan_split_csv
 
 
 def scan_registry_csv(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
     """All columns of a landed extract (plain or gz) as strings, named by its header.
 
     A quoted field may hold line breaks. Such files are read whole, one task each; say
-    ``line_breaks=False`` for large plain files without them, which are then split.
+    ``line_breaks=False`` for large plain files without them, which are then split, or use
+    ``scan_split_csv``, which splits plain files with line breaks too.
     """
     return spark.read.csv(
         path, header=True, quote='"', escape='"', enforceSchema=False, multiLine=line_breaks
@@ -31,10 +33,14 @@ def map_registry_columns(df: DataFrame) -> DataFrame:
 
 def read_registry(
     spark: SparkSession, path: str, n: int | None = None, seed: int = R.REGISTRY_SEED,
-    line_breaks: bool = True,
+    line_breaks: bool = True, split: bool = False,
 ) -> DataFrame:
-    """Mapped extract in the canonical schema, all rows unless a sample of ``n`` is asked for."""
-    rows = schemas.conform(map_registry_columns(scan_registry_csv(spark, path, line_breaks)), schemas.REGISTRY)
+    """Mapped extract in the canonical schema, all rows unless a sample of ``n`` is asked for.
+
+    ``split`` reads large plain files by many tasks, line breaks in quotes included.
+    """
+    scanned = scan_split_csv(spark, path) if split else scan_registry_csv(spark, path, line_breaks)
+    rows = schemas.conform(map_registry_columns(scanned), schemas.REGISTRY)
     if n is None:
         return rows
     return exact_sample(rows, n, seed, ["lei", *[c for c in rows.columns if c != "lei"]])
