@@ -1,13 +1,20 @@
-"""Queries of approximate search and ranked countries, with their SQL."""
+"""Queries of approximate search, ranked countries, split extracts and stored tables, with their SQL."""
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import oracles as O
 from checks import queries as Q
 from checks import views as V
-from orgkin.operators import countries, neighbours, vectors
+from orgkin import refdata as R
+from orgkin.operators import countries, neighbours, quality, search, vectors
+from orgkin.operators.clean import stage_boundary
+from orgkin.session import scratch_dir
+from orgkin.sources import registry, tables
 
 SHAPE = neighbours.HashTables(64, floor=200)  # a low floor, so that narrow filters of small tables walk too
 
@@ -102,13 +109,67 @@ shared AS (SELECT text, code, len(list_intersect(a, b)) AS n, len(a) + len(b) AS
   (SELECT text, code, {TRIPLES.format('said')} AS a, {TRIPLES.format('name')} AS b FROM asked, codes))"""
 
 
+# --- split extracts -------------------------------------------------------------------------------
+def src_a1_split_csv(spark, sf):
+    """Plain extracts whose addresses hold line breaks and quotes, read by byte ranges."""
+    path = scratch_dir(spark, "registry")
+    names = {t: s for s, t in R.REGISTRY_COLUMNS.items()}
+    broken = F.regexp_replace("legal_address_line1", " ", '\n"')
+    rows = Q.raw(spark, sf).withColumn("legal_address_line1", broken)
+    rows.select(*[F.col(c).alias(names[c]) for c in names]).write.csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return stage_boundary(registry.read_registry(spark, path, split=True)).select(
+        "lei", "legal_name", "country", "jurisdiction", "legal_address_line1", "managing_lou")
+
+
+# --- reports and stored tables ----------------------------------------------------------------------
+def _metrics(spark, sf):
+    return quality.quality_metrics(Q.clean(spark, sf), Q.AS_OF)
+
+
+def sink_b2_latest_report(spark, sf):
+    """Two reports in one folder and the run rows: the newest report is shown."""
+    path = scratch_dir(spark, "quality-report")
+    now = _metrics(spark, sf)
+    earlier = now.withColumn("run_date", F.col("run_date") - F.expr("INTERVAL 1 DAY")).withColumn("valid_records", F.lit(0))
+    tables.write_quality_report(now, path, "today")
+    tables.write_quality_report(earlier, path, "yesterday")
+    shown = search.latest_quality(tables.read_quality_reports(spark, path), Q.runs(spark, sf))
+    return shown.select("total_records", "valid_records", "duplicate_lei_count", "data_quality_score")
+
+
+def dq_c19_elapsed(spark, sf):
+    """The run time is that of the work: positive, and no longer than the query took."""
+    started = time.time()
+    done = quality.timed(_metrics(spark, sf), started)
+    seconds = F.col("pipeline_runtime_seconds")
+    return done.select("total_records", ((seconds > 0) & (seconds <= time.time() - started + 0.01)).alias("timed"))
+
+
+def sink_b7_stored_tables(spark, sf):
+    """Tables made twice, matches appended to theirs and read back."""
+    prefix = f"run_{uuid.uuid4().hex}_"
+    made = tables.ensure_tables(spark, prefix) and tables.ensure_tables(spark, prefix)
+    table = next(t for t in made if "match" in t)
+    tables.append_table(Q.matches(spark, sf), table)
+    return tables.read_table(spark, table).select("id", "lei_a", "lei_b", "final_score", "decision")
+
+
 def nearby_queries():
     return {n: f for n, f in globals().items() if n.startswith(Q.PREFIXES) and callable(f)}
 
 
 def nearby_oracles() -> dict[str, str]:
     near = f"WITH {O.BASE},\n{O.VECTORS},\n{O.INDEX},\n{NEAR}"
+    clean = O.blank
     return {
+        "src_a1_split_csv": f"""WITH {O.RAW} SELECT {clean('lei')} AS lei, {clean('legal_name')} AS legal_name, {clean('country')} AS country,
+  {clean('jurisdiction')} AS jurisdiction, {clean("replace(legal_address_line1, ' ', chr(10) || chr(34))")} AS legal_address_line1,
+  managing_lou FROM raw""",
+        "sink_b2_latest_report": f"""WITH {O.BASE},\n{O.metrics('real')} SELECT total_records, valid_records,
+  duplicate_lei_count, data_quality_score FROM metrics""",
+        "dq_c19_elapsed": f"WITH {O.BASE} SELECT count(*) AS total_records, true AS timed FROM real",
+        "sink_b7_stored_tables": f"WITH {O.MATCHES} SELECT id, lei_a, lei_b, final_score, decision FROM matches",
         "vec_x8_near": f"{near} SELECT query_id, rank, lei, country, entity_status, score FROM found",
         "vec_x8_recall": f"""{near},\n{EXACT} SELECT e.query_id % 60 AS filter, count(*) AS wanted, count(f.lei) AS found,
   any_value(m.n) AS candidates FROM every e LEFT JOIN found f ON f.query_id = e.query_id AND f.lei = e.lei
