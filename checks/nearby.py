@@ -16,7 +16,7 @@ from orgkin.operators.clean import stage_boundary
 from orgkin.session import scratch_dir
 from orgkin.sources import registry, tables
 
-SHAPE = neighbours.HashTables(64, floor=200)  # a low floor, so that narrow filters of small tables walk too
+SHAPE = neighbours.HashTables(64, floor=500)  # a lower floor, so that filters of small tables walk too
 
 
 # --- approximate neighbours -------------------------------------------------------------------
