@@ -57,3 +57,37 @@ def test_a_line_on_a_similarity_does_not_repeat_the_alignment(spark, plan):
     scored = scoring.with_signals(rows, name=("a", "b"), address=("a", "b"))
     text = plan(scored.filter("name_similarity >= 0.5 AND address_similarity >= 0.5"))
     assert text.split("Initial Plan")[0].count("ArrowEvalPython") == 1
+
+
+def test_scores_are_held_in_bounded_pieces(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from orgkin.operators import vectors
+
+    draw = np.random.default_rng(3)
+    asked, mine = draw.normal(size=(2000, 8)), draw.normal(size=(10_000, 8)).astype(np.float32)
+    mine[5_000:] = mine[:5_000]  # every point twice: equal scores are ranked by key
+    keys = [f"K{i:05d}" for i in draw.permutation(len(mine))]
+    same = pa.array(["x"] * len(mine))
+    points = pa.RecordBatch.from_pydict({
+        **{c: same for c in vectors.PAYLOAD}, "lei": pa.array(keys), "country": pa.array(["DE", "US"] * 5_000),
+        "embedding": pa.FixedSizeListArray.from_arrays(pa.array(mine.reshape(-1)), 8),
+        "norm": pa.array(np.sqrt((mine.astype(float) ** 2).sum(axis=1))),
+    })
+    wanted = ["DE" if i % 2 else None for i in range(len(asked))]
+    monkeypatch.setattr(vectors, "CELLS", 1 << 18, raising=False)
+    scorer = vectors._Scorer(pa.array(range(len(asked))), asked, wanted, [None] * len(asked), 5, 6)
+    tracemalloc.start()
+    got = scorer.batch(points)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60 << 20  # one array of all scores takes 160 MB
+    cosine = (asked @ mine.T.astype(float)) / (np.outer(np.sqrt((asked**2).sum(axis=1)), points.column("norm").to_numpy()) + 1e-9)
+    rows = got.to_pydict()
+    for i in range(0, len(asked), 97):
+        order = sorted((j for j in range(len(mine)) if not i % 2 or j % 2 == 0), key=lambda j: (-round(cosine[i, j], 6), keys[j]))[:5]
+        best = sorted((-s, k) for q, s, k in zip(rows["query_id"], rows["rank_score"], rows["lei"]) if q == i)[:5]
+        assert [k for _, k in best] == [keys[j] for j in order]
