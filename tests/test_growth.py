@@ -91,3 +91,11 @@ def test_scores_are_held_in_bounded_pieces(monkeypatch):
         order = sorted((j for j in range(len(mine)) if not i % 2 or j % 2 == 0), key=lambda j: (-round(cosine[i, j], 6), keys[j]))[:5]
         best = sorted((-s, k) for q, s, k in zip(rows["query_id"], rows["rank_score"], rows["lei"]) if q == i)[:5]
         assert [k for _, k in best] == [keys[j] for j in order]
+
+
+def test_words_of_a_pair_are_compared_once(spark, plan):
+    rows = spark.createDataFrame([("1 main st lyon", "1 main st osaka", "DE"), (None, "x", "US")], "a string, b string, c string")
+    scored = scoring.with_signals(rows, address=("a", "b"))
+    text = plan(scored).split("Initial Plan")[0]
+    assert text.count("array_intersect(") == 1 and text.count("array_except(") == 2
+    assert [r.address_similarity for r in scored.orderBy("c").collect()] == [round(18 / 23, 4), 0.0]  # the three shared words against four
