@@ -99,3 +99,33 @@ def test_words_of_a_pair_are_compared_once(spark, plan):
     text = plan(scored).split("Initial Plan")[0]
     assert text.count("array_intersect(") == 1 and text.count("array_except(") == 2
     assert [r.address_similarity for r in scored.orderBy("c").collect()] == [round(18 / 23, 4), 0.0]  # the three shared words against four
+
+
+def test_few_scores_are_made_in_double_precision(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from orgkin.operators import vectors
+
+    draw = np.random.default_rng(4)
+    asked, mine = draw.normal(size=(300, 16)), draw.normal(size=(6000, 16))
+    asked[0], mine[:50], mine[50] = 0, mine[50:100] * 1e-12, 0  # no direction, or so small that the 1e-9 counts
+    mine[3000:3100], asked[1] = mine[2900:3000], mine[2950] * 1e8
+    keys = [f"K{i:05d}" for i in draw.permutation(len(mine))]
+    same = pa.array(["x"] * len(mine))
+    size = np.sqrt((mine**2).sum(axis=1))
+    points = pa.RecordBatch.from_pydict({
+        **{c: same for c in vectors.PAYLOAD}, "lei": pa.array(keys),
+        "embedding": pa.FixedSizeListArray.from_arrays(pa.array(mine.reshape(-1)), 16), "norm": pa.array(size),
+    })
+    monkeypatch.setattr(vectors, "CELLS", 1 << 15)
+    seen, exact = [], vectors._Scorer._exact
+    monkeypatch.setattr(
+        vectors._Scorer, "_exact", lambda self, m, s, q=None, r=None: seen.append(len(self.matrix) * len(m) if q is None else len(q)) or exact(self, m, s, q, r))
+    got = vectors._Scorer(pa.array(range(300)), asked, [None] * 300, [None] * 300, 5, 6).batch(points).to_pydict()
+    assert sum(seen) < 0.2 * 300 * 6000
+    cosine = (asked @ mine.T) / (np.outer(np.sqrt((asked**2).sum(axis=1)), size) + 1e-9)
+    for i in range(300):
+        order = sorted(range(6000), key=lambda j: (-round(cosine[i, j], 6), keys[j]))[:5]
+        best = sorted((-s, k) for q, s, k in zip(got["query_id"], got["rank_score"], got["lei"]) if q == i)[:5]
+        assert [k for _, k in best] == [keys[j] for j in order]
