@@ -129,3 +129,58 @@ def test_few_scores_are_made_in_double_precision(monkeypatch):
         order = sorted(range(6000), key=lambda j: (-round(cosine[i, j], 6), keys[j]))[:5]
         best = sorted((-s, k) for q, s, k in zip(got["query_id"], got["rank_score"], got["lei"]) if q == i)[:5]
         assert [k for _, k in best] == [keys[j] for j in order]
+
+
+def test_windows_of_an_end_share_one_pass(monkeypatch):
+    import pyarrow as pa
+
+    from orgkin.functions import align
+
+    draw = random.Random(6)
+    a = ["".join(draw.choices("abcdef", k=draw.choice((1, 2, 30, 70)))) for _ in range(60)]
+    b = ["".join(draw.choices("abcdef", k=draw.randint(1, 90))) for _ in range(60)]
+    read, plain = [], align._subsequence
+
+    def counted(*args):
+        read.append(int(args[6].sum()))  # characters read: the widths of all windows
+        return plain(*args)
+
+    monkeypatch.setattr(align, "_subsequence", counted)
+    got = align.window_ratios(pa.array(a), pa.array(b))
+    pairs = [(x, y) if len(x) <= len(y) else (y, x) for x, y in zip(a, b)]
+    inside = sum((len(y) - len(x) + 1) * len(x) for x, y in pairs)
+    assert sum(read) <= 2 * inside + 4 * sum(len(x) for x, _ in pairs)
+
+    def lcs(x, y):
+        row = [0] * (len(y) + 1)
+        for c in x:
+            before = row[:]
+            for j, d in enumerate(y):
+                row[j + 1] = before[j] + 1 if c == d else max(before[j + 1], row[j])
+        return row[-1]
+
+    for (x, y), ratio in list(zip(pairs, got))[:25]:
+        widths = [(i, j) for i in range(len(y)) for j in range(i + 1, len(y) + 1)
+                  if j - i == len(x) or (j - i < len(x) and (i == 0 or j == len(y)))]
+        best = max(2.0 * lcs(x, y[i:j]) / (len(x) + j - i) for i, j in widths)
+        if len(x) == len(y):
+            best = max(best, max(2.0 * lcs(y, w) / (len(y) + len(w)) for k in range(1, len(x) + 1) for w in (x[:k], x[-k:])))
+        assert ratio == best
+
+
+def test_filings_are_dealt_before_they_are_widened(spark, plan, tmp_path):
+    import datetime as dt
+
+    from checks import queries as Q
+
+    day = dt.datetime(2020, 1, 2)
+    for name, rows, schema in (
+        ("orders", [(i, i % 5, day) for i in range(40)] + [(3, 3, day), (50, None, day)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"),
+        ("customer", [(i, i % 2) for i in range(5)], "c_custkey long, c_nationkey int"),
+        ("nation", [(0, "FRANCE", 3), (1, None, 1)], "n_nationkey int, n_name string, n_regionkey int"),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    raw = Q.raw(spark, str(tmp_path))
+    dealt = [line for line in plan(raw).splitlines() if "REPARTITION_BY_NUM" in line]
+    assert len(dealt) == 1 and "hashpartitioning(o_orderkey" in dealt[0]  # three narrow columns, not the filings
+    assert sorted(r.ingest_ord for r in raw.collect()) == sorted([*range(40), 3])
