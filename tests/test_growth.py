@@ -184,3 +184,17 @@ def test_filings_are_dealt_before_they_are_widened(spark, plan, tmp_path):
     dealt = [line for line in plan(raw).splitlines() if "REPARTITION_BY_NUM" in line]
     assert len(dealt) == 1 and "hashpartitioning(o_orderkey" in dealt[0]  # three narrow columns, not the filings
     assert sorted(r.ingest_ord for r in raw.collect()) == sorted([*range(40), 3])
+
+
+def test_query_vectors_of_one_length_only():
+    import numpy as np
+    import pyarrow as pa
+    import pytest
+
+    from orgkin.operators import vectors
+
+    got = vectors._query_matrix(pa.array([[1.0, 2.0], [3.0, None]], pa.list_(pa.float32())))
+    assert got.shape == (2, 2) and got[0].tolist() == [1.0, 2.0] and np.isnan(got[1, 1])
+    for odd in ([[1.0, 2.0, 3.0], [4.0]], [[1.0, 2.0], None]):
+        with pytest.raises(ValueError):
+            vectors._query_matrix(pa.array(odd, pa.list_(pa.float32())))
