@@ -9,6 +9,7 @@ lines of broken records are shuffled.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -19,27 +20,35 @@ _LINE = "file string, start bigint, line bigint, before bigint, quotes bigint, v
 _RANGE = ["file", "start"]
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every line with its file, the byte its range starts at, its number and the quotes before it
-    within that range."""
-    plain = spark.read.text(path, lineSep="\n").select(
+def _plain(spark: SparkSession, path: str) -> DataFrame:
+    """Every line with its file and the byte its range starts at."""
+    return spark.read.text(path, lineSep="\n").select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
     )
 
+
+def _lines(plain: DataFrame) -> DataFrame:
+    """Lines with their number and the quotes before them within their range."""
+
     def numbered(batches):
         at, line, before = None, 0, 0
         for rows in batches:
-            quotes = pc.count_substring(rows.column("value"), '"').to_pylist()
-            lines, earlier = [], []
-            for place, n in zip(zip(rows.column("file").to_pylist(), rows.column("start").to_pylist()), quotes):
-                if place != at:
-                    at, line, before = place, 0, 0
-                lines.append(line)
-                earlier.append(before)
-                line, before = line + 1, before + n
+            if not rows.num_rows:
+                continue
+            quotes = pc.count_substring(rows.column("value"), '"').to_numpy(zero_copy_only=False).astype(np.int64)
+            file = rows.column("file").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            start = rows.column("start").to_numpy(zero_copy_only=False)
+            begins = np.flatnonzero(np.concatenate(([True], (file[1:] != file[:-1]) | (start[1:] != start[:-1]))))
+            size = np.diff(np.append(begins, len(start)))
+            lines = np.arange(len(start)) - np.repeat(begins, size)
+            earlier = np.cumsum(quotes) - quotes
+            earlier -= np.repeat(earlier[begins], size)
+            if at == (rows.column("file")[0].as_py(), int(start[0])):  # the last batch ended in this range
+                lines[: size[0]] += line
+                earlier[: size[0]] += before
+            at, line, before = (rows.column("file")[-1].as_py(), int(start[-1])), int(lines[-1]) + 1, int(earlier[-1] + quotes[-1])
             yield pa.RecordBatch.from_arrays(
-                [rows.column("file"), rows.column("start"), pa.array(lines, pa.int64()), pa.array(earlier, pa.int64()),
-                 pa.array(quotes, pa.int64()), rows.column("value")],
+                [rows.column("file"), rows.column("start"), pa.array(lines), pa.array(earlier), pa.array(quotes), rows.column("value")],
                 names=["file", "start", "line", "before", "quotes", "value"],
             )
 
@@ -53,12 +62,15 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     a line begins inside quotes if an odd number of quotes stands before it. Blank lines between
     records are left out; an unclosed quote runs to the end of its file.
     """
-    lines = _lines(spark, path)
+    plain = _plain(spark, path)
+    lines = _lines(plain)
     ordered = W.partitionBy("file").orderBy("start")
-    ranges = lines.groupBy(*_RANGE).agg(F.sum("quotes").alias("quotes"))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    ranges = plain.groupBy(*_RANGE).agg(F.sum(quotes).alias("quotes"))
     earlier = F.sum("quotes").over(ordered.rowsBetween(W.unboundedPreceding, -1))
     ranges = ranges.select(*_RANGE, F.coalesce(earlier, F.lit(0)).alias("carried"))
-    marked = lines.join(ranges, _RANGE).withColumn("opens", (F.col("carried") + F.col("before")) % 2 == 0)
+    # ranges are few (one for each 128 MB or so), so the lines stay where they are read
+    marked = lines.join(F.broadcast(ranges), _RANGE).withColumn("opens", (F.col("carried") + F.col("before")) % 2 == 0)
     whole = F.col("opens") & (F.col("quotes") % 2 == 0)
     single = marked.filter(whole).select(*_RANGE, "line", F.col("value").alias("record"))
 
@@ -71,7 +83,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     here = F.when(F.col("_line").isNotNull(), F.struct("start", "_line"))
     inherited = F.last(here, ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, -1))
     last = last.select(*_RANGE, inherited.alias("_before"))
-    placed = parts.withColumn("_own", own).join(last, _RANGE).withColumns({
+    placed = parts.withColumn("_own", own).join(F.broadcast(last), _RANGE).withColumns({
         "_start": F.when(F.col("_own").isNotNull(), F.col("start")).otherwise(F.col("_before.start")),
         "_first": F.coalesce("_own", F.col("_before._line")),
     })

@@ -81,3 +81,22 @@ def test_registry_columns(spark, tmp_path, small_ranges):
     assert got.columns == read_registry(spark, str(path)).columns
     assert sorted(map(str, got.collect())) == sorted(map(str, read_registry(spark, str(path)).collect()))
     assert {r.legal_name for r in got.collect()} == {"One\nCompany", "Two"}
+
+
+def test_lines_are_not_shuffled_to_learn_how_their_range_begins(spark, plan, tmp_path):
+    for f in range(3):
+        text = "".join(f'{i},"{"x" * (i % 7)}{chr(10) if i % 5 == 0 else ""}y ""{i}""",z\n' for i in range(400))
+        (tmp_path / f"{f}.csv").write_text(text)
+    found = csv_records(spark, str(tmp_path))
+    assert "SortMergeJoin" not in plan(found).split("Initial Plan")[0]
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")  # ranges end inside records
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # and batches inside ranges
+        got = sorted(r.record for r in csv_records(spark, str(tmp_path)).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    want = [f'{i},"{"x" * (i % 7)}{chr(10) if i % 5 == 0 else ""}y ""{i}""",z' for i in range(400)] * 3
+    assert got == sorted(want)
