@@ -2,9 +2,12 @@
 
 import collections
 import hashlib
+import tracemalloc
 
 import corpus_pipeline
+import numpy as np
 import pyarrow as pa
+import pytest
 from orgkin.llm import byte_bpe
 from orgkin.llm.common import written
 from tests.llm.test_corpus_operators import _jaccard
@@ -34,3 +37,22 @@ def test_long_id_lists_are_decoded_in_parts(monkeypatch):
     codec = byte_bpe.Codec(byte_bpe.sentencepiece_model(ranks), tokens, byte_bpe.pattern())
     for text in ("", "one two three, four five six seven", "naïve 日本語 text"):
         assert codec.decode(pa.array(codec.encode_all([text])[0])) == text.encode()
+
+
+def test_decoding_makes_no_python_object_per_id():
+    ranks = byte_bpe.read_ranks(byte_bpe.vocabulary())
+    tokens = [t for t, _ in sorted(ranks.items(), key=lambda x: x[1])]
+    codec = byte_bpe.Codec(byte_bpe.sentencepiece_model(ranks), tokens, byte_bpe.pattern())
+    ids = np.arange(200_000, dtype=np.int32) % len(tokens)
+    want = b"".join(tokens[i] for i in ids.tolist())
+    codec.decode(pa.array(ids[:1]))
+    tracemalloc.start()
+    try:
+        found = codec.decode(pa.array(ids))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == want and peak < 2 * len(want)
+    assert codec.decode(pa.array([tokens.index(b"a")] * 3, pa.int32())) == b"aaa"
+    with pytest.raises(TypeError):
+        codec.decode(pa.array([1, None], pa.int32()))
