@@ -7,7 +7,8 @@
 2. Sets with a common signature are joined to the smallest id there, never pair by pair: sets
    that may link are members of one leader. Each set also has a histogram of its hashes, which
    bounds the difference of two sets from below; of a leader's members only those stay
-   connected that the bound allows. Leaders with more than MEMBERS keep all their edges. The
+   connected that the bound allows. Larger sets have more buckets, as the bound says little
+   where a bucket holds many hashes. Leaders with more than MEMBERS keep all their edges. The
    connected components of the edges are the blocks inside which links can lie.
 3. A block's sets are put into a prefix tree and searched; see ``prefix_tree``. A block above
    TREE_TOKENS is dealt over several trees: each is searched for itself, then the anchors of
@@ -39,7 +40,10 @@ PERCENT = 85
 LEVEL_RATIO = 1.6
 TREE_TOKENS = 1_000_000  # n-grams in one tree, about 30 MB
 MEMBERS = 4096  # sets of one leader that are compared by their histograms in one task
-BUCKETS = 256  # of a histogram, one byte each
+BUCKETS = 256  # of the smallest histogram, one byte each
+PER_BUCKET = 4  # hashes in a bucket, about, of sets that need more buckets
+MOST_BUCKETS = 1 << 14  # a larger set's buckets hold more: its bound is weaker, but holds
+COMPARED = 1 << 24  # bytes of histograms that are compared at once
 ANCHORS = 16  # largest groups of a tree that are searched for in all trees of the block
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -128,9 +132,22 @@ def _digest(tokens: np.ndarray) -> tuple[int, int]:
     return tuple(pair.view(np.int64).tolist())
 
 
-def histogram(tokens: np.ndarray) -> np.ndarray:
+def buckets(size: int) -> int:
+    """Buckets of the histogram of a set: a power of two."""
+    most = BUCKETS
+    while most * PER_BUCKET < size and most < MOST_BUCKETS:
+        most *= 2
+    return most
+
+
+def histogram(tokens: np.ndarray, width: int = BUCKETS) -> np.ndarray:
     """How many of the hashes fall into each bucket, modulo 256."""
-    return np.bincount((tokens & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS).astype(np.uint8)
+    return np.bincount((tokens & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint8)
+
+
+def _folded(counts: np.ndarray, width: int) -> np.ndarray:
+    """Histograms, one a row, with fewer buckets."""
+    return counts.reshape(len(counts), -1, width).sum(axis=1, dtype=np.uint8)
 
 
 def may_link(one: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -140,18 +157,41 @@ def may_link(one: np.ndarray, size: int, others: np.ndarray, sizes: np.ndarray,
     return off * (100 + percent) <= (100 - percent) * (sizes + size)
 
 
-def _connected(histograms: np.ndarray, sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Edges that connect whatever ``may_link`` connects: each set is visited once and takes
-    those that nobody has taken."""
+def _connected(histograms: list[np.ndarray], sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Edges that connect whatever ``may_link`` connects, by the histograms of fewest buckets and
+    then by those of the most that both have: each set is visited once and takes those that
+    nobody has taken."""
+    widths = np.array([len(h) for h in histograms])
+    tables, rows = {}, {}  # by width: the histograms of that width and of twice it, and their places
+    for width in {BUCKETS, *widths.tolist(), *(widths // 2).tolist()} - {BUCKETS // 2}:
+        some = np.flatnonzero((widths == width) | (widths == 2 * width) | (width == BUCKETS))
+        tables[width] = np.concatenate([_folded(histograms[i][None], width) for i in some])
+        rows[width] = np.full(len(sizes), -1)
+        rows[width][some] = np.arange(len(some))
+
+    def near(at: int, free: np.ndarray, width: int) -> np.ndarray:
+        table, place = tables[width], rows[width]
+        step = max(1, COMPARED // width)
+        return np.concatenate([
+            may_link(table[place[at]], sizes[at], table[place[some]], sizes[some], percent)
+            for some in (free[k: k + step] for k in range(0, len(free), step))
+        ])
+
     free, edges, todo = np.arange(len(sizes)), [], []
     while len(free):
         if not todo:
             todo, free = [free[0]], free[1:]
+            continue
         at = todo.pop()
-        near = may_link(histograms[at], sizes[at], histograms[free], sizes[free], percent)
-        todo.extend(free[near])
-        edges.extend((int(at), int(x)) for x in free[near])
-        free = free[~near]
+        found = near(at, free, BUCKETS)
+        common = np.minimum(widths[free], widths[at])
+        finer = found & (common > BUCKETS) & (np.maximum(widths[free], widths[at]) <= 2 * common)
+        for width in np.unique(common[finer]).tolist():
+            some = np.flatnonzero(finer & (common == width))
+            found[some] = near(at, free[some], width)
+        todo.extend(free[found])
+        edges.extend((int(at), int(x)) for x in free[found])
+        free = free[~found]
     return edges
 
 
@@ -184,7 +224,7 @@ def _signed(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 new = (a, b) not in seen
                 seen.add((a, b))
                 keys.append(signatures.of(tokens) if new else np.zeros(0, np.int64))
-                counts.append(histogram(tokens).tobytes() if len(keys[-1]) else None)
+                counts.append(histogram(tokens, buckets(len(tokens))).tobytes() if len(keys[-1]) else None)
             ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(h1, pa.int64()),
@@ -203,8 +243,8 @@ def _possible(edges: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     def prune(batches):
         for group in runs_of(batches, "leader"):
             ids, sizes = group.column("doc_id").to_numpy(), group.column("n").to_numpy()
-            counts = np.frombuffer(b"".join(group.column("counts").to_pylist()), np.uint8)
-            found = _connected(counts.reshape(-1, BUCKETS), sizes, percent)
+            counts = [np.frombuffer(x, np.uint8) for x in group.column("counts").to_pylist()]
+            found = _connected(counts, sizes, percent)
             if found:
                 a, b = np.array(found).T
                 yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])

@@ -8,7 +8,7 @@ import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
-from orgkin.llm import byte_bpe
+from orgkin.llm import byte_bpe, jaccard_join
 from orgkin.llm.common import written
 from tests.llm.test_corpus_operators import _jaccard
 
@@ -56,3 +56,29 @@ def test_decoding_makes_no_python_object_per_id():
     assert codec.decode(pa.array([tokens.index(b"a")] * 3, pa.int32())) == b"aaa"
     with pytest.raises(TypeError):
         codec.decode(pa.array([1, None], pa.int32()))
+
+
+def test_large_sets_stay_apart_that_differ_and_together_that_link():
+    rng = np.random.default_rng(6)
+    draw = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    common, sets = draw(4_000), []
+    for size in (1_000, 1_024, 1_030, 8_000, 16_000):
+        base = draw(size)
+        for gone in (0, size // 20, size // 9, size // 2):
+            sets.append(np.unique(np.concatenate([base[gone:], draw(gone)])))
+    sets += [np.unique(np.concatenate([common, draw(8_000)])) for _ in range(6)]  # a third in common
+    shapes = [jaccard_join.histogram(x, jaccard_join.buckets(len(x))) for x in sets]
+    assert {len(x) for x in shapes} > {256, 512, 4096}
+    near = {}
+    for i, a in enumerate(sets):
+        near[i] = {i}
+        for j, b in enumerate(sets):
+            shared = len(np.intersect1d(a, b, assume_unique=True))
+            if 100 * shared >= 80 * (len(a) + len(b) - shared):
+                near[i].add(j)
+    group = list(range(len(sets)))
+    for a, b in jaccard_join._connected(shapes, np.array([len(x) for x in sets]), 80):
+        group = [group[b] if g == group[a] else g for g in group]
+    assert all(group[i] == group[j] for i in near for j in near[i])
+    assert all(group.count(group[i]) == 1 for i in range(20, 26))  # were one block before
+    assert len({group[i] for i in (0, 4, 8, 12, 16)}) == 5
