@@ -400,13 +400,16 @@ def extracted(pages: DataFrame) -> DataFrame:
         F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)", 1)).alias("host"),
         "html",
     )
-    parsed = written(rows.mapInArrow(_parsed, PARSED), "html-parsed")
+    parsed = written(rows.mapInArrow(_parsed, PARSED), "html-parsed", "zstd")
     size = F.aggregate("texts", F.lit(0), lambda a, t: a + F.size(F.split(t, " ")))
     parts = parsed.filter(F.size("texts") > 0).groupBy("host").agg(F.ceil(F.sum(size) / ARRAY_TOKENS).alias("parts"))
+    # a host of several arrays has more than ARRAY_TOKENS tokens, so there are few of them
+    several = F.broadcast(parts.filter("parts > 1"))
     streams = (
         parsed.filter(F.size("texts") > 0).select("host", "copy", "texts")
         .mapInArrow(_streams, "host string, copy long, stream binary, sizes array<int>")
-        .join(parts, "host").withColumn("part", F.pmod("copy", "parts"))
+        .join(several, "host", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        .withColumn("part", F.pmod("copy", "parts"))
     )
     arrays = streams.groupBy("host", "part")
 

@@ -8,7 +8,7 @@ import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
-from orgkin.llm import byte_bpe, jaccard_join
+from orgkin.llm import byte_bpe, html_text, jaccard_join
 from orgkin.llm.common import written
 from tests.llm.test_corpus_operators import _jaccard
 
@@ -82,3 +82,18 @@ def test_large_sets_stay_apart_that_differ_and_together_that_link():
     assert all(group[i] == group[j] for i in near for j in near[i])
     assert all(group.count(group[i]) == 1 for i in range(20, 26))  # were one block before
     assert len({group[i] for i in (0, 4, 8, 12, 16)}) == 5
+
+
+def test_page_streams_are_not_shuffled_for_the_sizes_of_hosts(spark):
+    pages = spark.createDataFrame(
+        [(i, f"http://h{i % 3}/{i}", f"<p>own{i} text{i}</p>") for i in range(9)], "page_id long, url string, html string"
+    )
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = html_text.extracted(pages)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1  # pages with what is boilerplate there, nothing else
+        assert {r.page_id: r.text for r in found.collect()} == {i: f"own{i} text{i}" for i in range(9)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
