@@ -33,14 +33,16 @@ WORD = re.compile(r"\S+\s*")
 
 def cuts(words: list[str]) -> list[int]:
     """Places of the words of least hash in all windows, the last of equal ones."""
-    hashes = [xxhash.xxh3_64_intdigest(w.rstrip().lower()) for w in words]
-    out, best = [], -1
+    hashes = list(map(xxhash.xxh3_64_intdigest, "".join(words).lower().split()))
+    out, best, least = [], -1, -1
     for end in range(WINDOW - 1, len(hashes)):
         if best <= end - WINDOW:
-            best = min(range(end, end - WINDOW, -1), key=hashes.__getitem__)
-        elif hashes[end] <= hashes[best]:
-            best = end
-        if not out or out[-1] != best:
+            window = hashes[end - WINDOW + 1 : end + 1]
+            least = min(window)
+            best = end - window[::-1].index(least)
+            out.append(best)
+        elif hashes[end] <= least:
+            best, least = end, hashes[end]
             out.append(best)
     return out
 
@@ -48,19 +50,17 @@ def cuts(words: list[str]) -> list[int]:
 def sentences(text: str) -> list[str]:
     """The text in pieces that join to it again: sentences, or parts of long ones."""
     out = []
-    for m in SENTENCE.finditer(text):
-        s = m[0]
+    for s in SENTENCE.findall(text):
         if not s:
             continue
         words = WORD.findall(s) if len(s) > 2 * WINDOW else ()
         if len(words) <= WINDOW:
             out.append(s)
             continue
-        lead = len(s) - sum(map(len, words))
+        words[0] = s[: len(s) - sum(map(len, words))] + words[0]
         at = 0
         for end in [i + 1 for i in cuts(words) if i + 1 < len(words)] + [len(words)]:
-            piece = "".join(words[at:end])
-            out.append(s[:lead] + piece if at == 0 else piece)
+            out.append("".join(words[at:end]))
             at = end
     return out
 
@@ -70,19 +70,19 @@ def runs(pieces: list[str]) -> list[tuple[int, int, int]]:
 
     Case and white space do not count. Pieces without a word take no part.
     """
-    parts = [(i, p.lower().split()) for i, p in enumerate(pieces)]
-    parts = [(i, w) for i, w in parts if w]
-    hashes = [xxhash.xxh3_64_intdigest(" ".join(w)) for _, w in parts]
+    parts = [p.lower().split() for p in pieces]
+    places = [i for i, w in enumerate(parts) if w]
+    sizes = [len(parts[i]) for i in places]
+    hashes = b"".join([xxhash.xxh3_64_digest(" ".join(parts[i])) for i in places])
     out, end, words = [], 0, 0
-    for at in range(len(parts)):
-        while end < len(parts) and (end - at < SENTENCES or words < LEAST_WORDS):
-            words += len(parts[end][1])
+    for at, first in enumerate(places):
+        while end < len(places) and (end - at < SENTENCES or words < LEAST_WORDS):
+            words += sizes[end]
             end += 1
         if end - at < SENTENCES or words < LEAST_WORDS:
             break
-        joined = b"".join(h.to_bytes(8, "little") for h in hashes[at:end])
-        out.append((parts[at][0], parts[end - 1][0] + 1, xxhash.xxh3_64_intdigest(joined)))
-        words -= len(parts[at][1])
+        out.append((first, places[end - 1] + 1, xxhash.xxh3_64_intdigest(hashes[8 * at : 8 * end])))
+        words -= sizes[at]
     return out
 
 
