@@ -54,7 +54,7 @@ def duplicates_lazy(spark, sf):
 
 
 def clean(spark, sf):
-    return staged(spark, sf, "clean", clean_lazy)
+    return staged(spark, sf, "clean", lambda s, d: stage_boundary(clean_entities(raw(s, d), reread=True)))
 
 
 def duplicates(spark, sf):

@@ -9,7 +9,7 @@ from orgkin.functions.country import normalize_country
 from orgkin.functions.text import (
     blank_to_null, normalize_address, normalize_name, standardize_status, strip,
 )
-from orgkin.operators.keyed import first_per_key, spread
+from orgkin.operators.keyed import first_per_key, first_rows, spread
 from orgkin.refdata import ENTITY_STATUSES, REGISTRATION_STATUSES
 
 
@@ -33,23 +33,26 @@ def clean_columns(df: DataFrame, strict_suffixes: bool = False) -> DataFrame:
     return df.withColumns(new)
 
 
-def dedupe_first(df: DataFrame, order: str = "ingest_ord") -> DataFrame:
+def dedupe_first(df: DataFrame, order: str = "ingest_ord", reread: bool = False) -> DataFrame:
     """Keep the first row per lei in ingest order; rows without a lei are one group.
 
-    A small input is dealt over all cores by key, which the window then reuses.
+    A small input is dealt over all cores by key, which the window then reuses. ``reread`` finds
+    the first rows before the others are widened, for inputs that are cheap to read twice.
     """
+    if reread:
+        return first_rows(df, "lei", order)
     return first_per_key(spread(df, "lei"), ["lei"], F.asc_nulls_last(order))
 
 
 def clean_entities(
-    df: DataFrame, order: str = "ingest_ord", strict_suffixes: bool = False
+    df: DataFrame, order: str = "ingest_ord", strict_suffixes: bool = False, reread: bool = False
 ) -> DataFrame:
     """Keep the first filing per lei, then normalise it.
 
     Deduplicating first gives the same rows, as no rule touches the key, and the
     expressions run once per entity instead of once per filing.
     """
-    rows = dedupe_first(df, order) if "lei" in df.columns else df
+    rows = dedupe_first(df, order, reread) if "lei" in df.columns else df
     return clean_columns(rows, strict_suffixes)
 
 

@@ -49,6 +49,32 @@ def first_per_key(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFra
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def repeatable(df: DataFrame) -> bool:
+    """Whether reading the frame twice surely gives the same rows, as far as its plan says."""
+    try:
+        return bool(df._jdf.queryExecution().analyzed().deterministic())
+    except AttributeError:
+        return False
+
+
+def first_rows(df: DataFrame, key: str, order: str) -> DataFrame:
+    """``first_per_key`` by one ascending column (nulls last), for rows that are wide or costly.
+
+    The least order of each key is found from these two columns alone, so only rows that hold
+    it are widened and shuffled; the input is read twice for it. Rows that tie still leave one.
+    A frame that may differ when it is read again is ranked as it is.
+    """
+    rows = df
+    if repeatable(df):
+        least = df.groupBy(F.col(key).alias("_key")).agg(F.min(order).alias("_least"))
+        # a filter, unlike a join, moves below the expressions that widen a row
+        rows = df.sparkSession.sql(
+            f"SELECT * FROM {{rows}} r WHERE EXISTS (SELECT 1 FROM {{least}} WHERE _key <=> r.`{key}` AND _least <=> r.`{order}`)",
+            rows=df, least=least,
+        )
+    return first_per_key(spread(rows, key), [key], F.asc_nulls_last(order))
+
+
 def top_per_key(df: DataFrame, keys: Sequence[str], k: int, *order: Column) -> DataFrame:
     """The first ``k`` rows of each key with their 1-based ``rank``."""
     rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order))
