@@ -32,6 +32,7 @@ PROBE_BITS = 10  # a query reaches the 2^10 buckets of a table that its surest b
 ANY = "*"  # no filter; payloads never hold it
 _COST_DIGITS = 9
 OPEN_CELLS = 1 << 26  # places by queries that a task holds
+MOST_SIZES = 1 << 18  # sizes of buckets that are broadcast; more are shuffled
 
 
 @dataclass(frozen=True)
@@ -147,10 +148,14 @@ _FILTER = ["by_country", "by_entity_status"]
 def _opened(tables: DataFrame, queries: DataFrame, shape: HashTables) -> DataFrame:
     """``query_id, asks``: the places (table and bucket in one number) that each query opens, under its filters."""
     place = ["bucket_table", "bucket"]
-    sizes = _by_filter(tables.select(*place, "country", "entity_status"))
-    sizes = sizes.groupBy(*place, *_FILTER).agg(F.count(F.lit(1)).alias("n"))
+    # sizes of the filters that queries ask for are few; probes are many rows that the planner takes for
+    # few, so it must not choose to broadcast them through the driver
+    wanted = _settled(_filter_of(queries).select(*_FILTER).distinct(), "filters")
+    sizes = _by_filter(tables.select(*place, "country", "entity_status")).join(wanted, _FILTER, "left_semi")
+    sizes = _settled(sizes.groupBy(*place, *_FILTER).agg(F.count(F.lit(1)).alias("n")), "sizes")
     passing = sizes.filter("bucket_table = 0").groupBy(*_FILTER).agg(F.sum("n").alias("passing"))
-    asked = _filter_of(probes(queries, shape)).join(sizes, [*place, *_FILTER]).join(passing, _FILTER)
+    how = "broadcast" if sizes.count() <= MOST_SIZES else "merge"
+    asked = _filter_of(probes(queries, shape)).join(sizes.hint(how), [*place, *_FILTER]).join(passing.hint(how), _FILTER)
     walk = W.partitionBy("query_id").orderBy("cost", *place).rowsBetween(W.unboundedPreceding, -1)
     seen = F.coalesce(F.sum("n").over(walk), F.lit(0))
     line = F.greatest(F.lit(float(shape.floor)), shape.reads * F.col("passing"))
