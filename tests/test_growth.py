@@ -198,3 +198,17 @@ def test_query_vectors_of_one_length_only():
     for odd in ([[1.0, 2.0, 3.0], [4.0]], [[1.0, 2.0], None]):
         with pytest.raises(ValueError):
             vectors._query_matrix(pa.array(odd, pa.list_(pa.float32())))
+
+
+def test_pairs_that_meet_are_measured_where_they_meet(spark, monkeypatch):
+    """Pairs grow with the square of the names: they are not shuffled, and names only once to their cells."""
+    made = []
+    settled = screening.settled
+    monkeypatch.setattr(screening, "settled", lambda df, name: made.append((name, df)) or settled(df, name))
+    names = _names(spark, {f"Common Thing Own{i}" for i in range(40)} | {"Common Shared"})
+    found = screening.similar_names(names, names, 0.7)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    dealt = [x for x in plan.split("\n") if " Exchange " in x]
+    assert len(dealt) == 4 and all("REPARTITION_BY_NUM" in x and "key" in x for x in dealt)
+    assert all(settled(df, "again").isEmpty() for name, df in made if name == "name-cells")  # no key has two cells
+    assert found.filter("a = 'Common Shared' AND b = 'Common Shared'").count() == 1
